@@ -22,6 +22,7 @@ _DIGITS = re.compile(r"[0-9]+")
 _BULLET = re.compile(r"(?:[-*•–·▪]|0[.)])\s+")
 _SEPARATOR = re.compile(r"\s*[|/•»·›]\s*")
 _LINK = re.compile(r"\[([^\]]+)\]\(([^)]*)\)")
+_SEPARATED = re.compile(r"[|/•»·›][^|/•»·›]*[|/•»·›]")
 _CLOCK = re.compile(r"0:0 +(?=\S)")
 _END = re.compile(r"[.!?…。！？:;：；]['\"”’»“)\]」』]*$|[.!?。！？]['\"”’»“)]*\s*$")
 _CJK = re.compile(r"[㐀-鿿]")
@@ -85,6 +86,10 @@ def bylines() -> tuple[str, ...]:
     return tuple(lexicon.BYLINE.values())
 
 
+#: Characters from which a line without a cue is a paragraph at once.
+LONG = 600
+
+
 class Page:
     """Lines of one page. ``raw``: as given, without ``\\r``; ``low``: normalised; ``kind``: one of the constants."""
 
@@ -119,33 +124,34 @@ class Page:
 
     @staticmethod
     def _kind(x: str, b: str, hit: int | None, title: str, outlet: str, raw: str) -> int:
-        if title and _plain(x) == title:
-            return TITLE if x[0] not in "->[•*" and not _CLOCK.match(x) else TEASER
-        if hit == FURNITURE:
+        n, first = len(x), x[0]
+        if n > LONG and hit is None:
+            return PROSE
+        if title and abs(n - len(title)) < 6 and _plain(x) == title:
+            return TITLE if first not in "->[•*" and not _CLOCK.match(x) else TEASER
+        if hit == FURNITURE and n <= LONG:
             return FURNITURE
-        if outlet and len(x) < 400 and outlet in x.replace(" ", "").replace("-", ""):
+        if outlet and n < LONG and outlet[:4] in x and outlet in x.replace(" ", "").replace("-", ""):
             return FURNITURE if hit != LABEL else LABEL
-        if x[0] == "#":
+        if first == "#":
             return HEADING
-        ended = bool(_END.search(x))
-        if hit == LABEL and (not ended or x[-1] == ":") and len(x) < 140:
+        ended = bool(_END.search(x[-16:]))
+        if hit == LABEL and (not ended or x[-1] == ":") and n < 140:
             return LABEL
-        if b in menu_words():
+        if n < 40 and b in menu_words():
             return MENU
-        parts = _SEPARATOR.split(b)
-        if len(parts) >= 3:
-            known = sum(p in menu_words() for p in parts)
-            if known * 2 >= len(parts):
+        if n < LONG and _SEPARATED.search(b):
+            parts = _SEPARATOR.split(b)
+            if len(parts) >= 3 and sum(p in menu_words() for p in parts) * 2 >= len(parts):
                 return MENU
-        if len(b) < 60 and not ended and b.startswith(bylines()):
+        if n < 60 and not ended and b.startswith(bylines()):
             return FURNITURE
-        if _LINK.fullmatch(b):
-            return TEASER
-        if x[0] in ">[" and not ended or (_CLOCK.match(x) and not ended):
-            return TEASER
-        if x != b and not ended:
+        if first == "[" or b[:1] == "[":
+            if _LINK.fullmatch(b):
+                return TEASER
+        if not ended and (first in ">[" or x != b or _CLOCK.match(x)):
             return TEASER
-        if ended or len(x) > 160:
+        if ended or n > 160:
             return PROSE
         return SHORT
 
@@ -184,3 +190,15 @@ def outlet_key(domain: str | None) -> str:
             d = d[: -len(tail)]
     d = d.replace("-", "")
     return d if len(d) >= 8 else ""
+
+
+_NAME = re.compile(r"[A-ZÀ-ÖØ-ÞА-ЯЁ][\w’']*(?:[- ](?:[A-ZÀ-ÖØ-Þ][\w’']*|on|Bay))*(?:-[A-ZÀ-Þ]\w*)?")
+_ZH_NAME = re.compile(r"[A-Za-z][A-Za-z' -]*")
+
+
+def headline_form(s: str) -> str:
+    """A headline without its names and figures: capitalised words become X and digit runs 0."""
+    s = _SPACES.sub(" ", _DIGITS.sub("0", s.strip()))
+    if _CJK.search(s):
+        return _ZH_NAME.sub("X", s)
+    return _NAME.sub("X", s)
