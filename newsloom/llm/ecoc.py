@@ -20,6 +20,8 @@ import numpy as np
 BITS = 15
 BUCKETS = 1 << 15
 AMBIGUOUS = 0.6
+RELABEL = 0.95
+FIRM = 3
 EPOCHS = 6
 STEP = 0.2
 _PIECE = 1 << 19
@@ -150,11 +152,12 @@ def _from_counts(counts: np.ndarray, languages: list[str], codes: np.ndarray) ->
     return Model(languages, codes, w, np.ones(codes.shape[1], np.float32))
 
 
-def fit(texts: list[str], labels: list[str | None], languages: list[str]) -> Model:
+def fit(texts: list[str], labels: list[str | None], languages: list[str], votes: list[int] | None = None) -> Model:
     """Fit on a bounded sample of labelled texts; labels outside ``languages`` count as unknown.
 
     Log-odds of counts start each bit's classifier; ``EPOCHS`` full steps of logistic regression with
-    per-weight step sizes then sharpen it. Midway, texts the decoder is sure of take the decoded label.
+    per-weight step sizes then sharpen it. Midway, texts the decoder is sure of take the decoded label,
+    unless ``votes`` says that several pages agree on theirs; such texts also pull more.
     """
     index = {x: i for i, x in enumerate(languages)}
     y = np.array([index.get(x, -1) for x in labels], np.int64) if labels else np.zeros(0, np.int64)
@@ -167,6 +170,8 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str]) -> Mod
     root = np.sqrt(np.maximum(np.add.reduceat((tri != 0).astype(np.int32), starts), 1)).astype(np.float32)
     bits = codes.shape[1]
     grown = np.full((2, bits, BUCKETS), 1e-3, np.float32)
+    agreed = np.ones(len(texts)) if votes is None else np.array(votes, np.float64)
+    heft, firm = (1 + np.log(agreed)).astype(np.float32), agreed >= FIRM
     margins = np.zeros((len(texts), bits), np.float32)
 
     def forward() -> None:
@@ -174,10 +179,9 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str]) -> Mod
             margins[:, b] = np.add.reduceat(model.weights[0, b][tri] + model.weights[1, b][tet], starts) / root
 
     forward()
-    y = _relabel(model, margins, y)
     for epoch in range(EPOCHS):
         target = codes[np.maximum(y, 0)]
-        pull = target / (1 + np.exp(np.clip(target * margins, -30, 30))) * (y >= 0)[:, None] / root[:, None]
+        pull = target / (1 + np.exp(np.clip(target * margins, -30, 30))) * ((y >= 0) * heft / root)[:, None]
         for b in range(bits):
             each = np.repeat(pull[:, b], sizes)
             for t, h in ((0, tri), (1, tet)):
@@ -187,7 +191,7 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str]) -> Mod
                 model.weights[t, b] += STEP * g / np.sqrt(grown[t, b])
         forward()
         if epoch == EPOCHS // 2:
-            y = _relabel(model, margins, y)
+            y = np.where(firm, y, _relabel(model, margins, y))
     known = y >= 0
     right = ((margins[known] * codes[y[known]]) > 0).mean(0) if known.any() else np.full(bits, 0.5)
     model.trust = np.clip(np.log((right + 0.01) / (1.01 - right)), 0.1, 4).astype(np.float32)
@@ -196,4 +200,4 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str]) -> Mod
 
 def _relabel(model: Model, margins: np.ndarray, y: np.ndarray) -> np.ndarray:
     got, sure = model.nearest(margins)
-    return np.where(sure > AMBIGUOUS, got, y)
+    return np.where(sure > RELABEL, got, y)

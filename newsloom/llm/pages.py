@@ -145,12 +145,13 @@ def fit_languages(feeds: DataFrame, names: dict[str, str], label: str = "languag
                 if len(own) < 3 and x not in own:
                     own.append(x)
                 votes[r.label] += 1
-    texts, labels = [], []
+    texts, labels, agreed = [], [], []
     for own, votes in groups.values():
         top = max(sorted(votes), key=votes.__getitem__)
         texts += own
         labels += [top] * len(own)
-    return ecoc.fit(texts, labels, languages)
+        agreed += [votes[top]] * len(own)
+    return ecoc.fit(texts, labels, languages, agreed)
 
 
 def page_languages(feeds: DataFrame, model: ecoc.Model, names: dict[str, str], forms: frozenset[str] | None = None, id_col: str = "id", text: str = "raw_text", title: str = "title", domain: str = "domain", label: str = "language", min_line: int = MIN_LINE) -> DataFrame:
@@ -224,7 +225,7 @@ def _languages_of(rows: list[tuple], model: ecoc.Model, names: dict[str, str], f
         segs = [
             {"line_no": n + 1, "language": model.languages[lang], "confidence": conf, "ambiguous": conf < ecoc.AMBIGUOUS}
             for (n, s, _, _), (lang, conf) in zip(lines, got)
-            if len(s) >= min_line and lang >= 0 and lang != main
+            if len(s) >= min_line and lang >= 0 and lang != main and written_as(model.languages[lang], s)
         ]
         for col, v in zip(out, (i, code, confidence, named_language(lab, names) == code, segs)):
             col.append(v)
@@ -234,6 +235,17 @@ def _languages_of(rows: list[tuple], model: ecoc.Model, names: dict[str, str], f
     return batch_of({"id": (out[0], pa.string()), "language": (out[1], pa.string()), "confidence": (out[2], pa.float32()), "label_ok": (out[3], pa.bool_()), "segments": (out[4], _SEGMENTS)})
 
 
+_SCRIPTS = {"zh": re.compile(r"[\u3400-\u9fff]"), "ru": re.compile(r"[\u0400-\u04ff]")}
+
+
+def written_as(language: str, line: str) -> bool:
+    """Exact check after decoding: the line has letters of the language's script, and words rather than one long code."""
+    script = _SCRIPTS.get(language)
+    if script:
+        return bool(script.search(line))
+    return line.count(" ") * 25 >= len(line)
+
+
 def language_findings(found: DataFrame, floor: float = 0.1) -> DataFrame:
     """(id, line_no, language): line 0 for a missing or wrong label, else each line in another language whose confidence is at least ``floor``."""
     zero = F.when(~F.col("label_ok"), F.array(F.struct(F.lit(0).alias("line_no"), F.col("language").alias("language")))).otherwise(F.expr("cast(array() as array<struct<line_no:int,language:string>>)"))
