@@ -45,3 +45,14 @@ def batch_of(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
 def once_per_id(df: DataFrame, key: str, *values: str) -> DataFrame:
     """One row for each key. Rows of one key carry equal values (see TESTDATA); the smallest is taken, so the result is the same in any order."""
     return df.groupBy(key).agg(*[F.min(v).alias(v) if not isinstance(df.schema[v].dataType, (T.MapType,)) else F.first(v).alias(v) for v in values])
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df``, the same in every run: those whose hash of the key is below the share that gives so many.
+
+    The rows are picked in the scan, so what reaches the driver doesn't grow with the input or its partitions.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int((1 << 40) * rows / total)).limit(rows + rows // 4)

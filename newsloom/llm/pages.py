@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boilerplate, ecoc
-from .common import batch_of, once_per_id
+from .common import batch_of, bounded_sample, once_per_id
 from .pagemodel import BLANK, FURNITURE, HEADING, PROSE, TITLE, Page, headline_form, outlet_key
 
 #: A headline form counts as one of the corpus from this share of the titles on, so there are at most 5 000.
@@ -122,7 +122,7 @@ def language_names(names: DataFrame) -> dict[str, str]:
 
 
 def fit_languages(feeds: DataFrame, names: dict[str, str], label: str = "language", text: str = "raw_text", id_col: str = "id", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> ecoc.Model:
-    """Classifiers from a bounded sample: the ``rows`` labelled texts of up to ``chars`` characters with the smallest hash of the id.
+    """Classifiers from a bounded sample of about ``rows`` labelled texts of up to ``chars`` characters, taken by hash of the id.
 
     Lines of one form (names and figures masked) are taken together under the label most of them carry, at
     most three of each, so neither wrong labels nor furniture repeated on every page sways the fit.
@@ -131,11 +131,11 @@ def fit_languages(feeds: DataFrame, names: dict[str, str], label: str = "languag
     codes = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
     s = F.lower(F.trim(F.col(label)))
     known = F.coalesce(codes[s], codes[F.split(s, r"[-_\s]")[0]])
-    sample = (
+    labelled = (
         feeds.select(F.col(id_col).alias("id"), F.col(text).alias("text"), known.alias("label"))
         .where(F.col("label").isNotNull() & (F.length("text") > 0) & (F.length("text") <= chars))
-        .orderBy(F.xxhash64("id"), "id").limit(rows).collect()
     )
+    sample = sorted(bounded_sample(labelled, "id", rows).collect(), key=lambda r: (str(r.id), r.text))
     groups: dict[str, tuple[list[str], Counter]] = {}
     for r in sample:
         for x in r.text.splitlines():
