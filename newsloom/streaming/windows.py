@@ -6,28 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _late(events: DataFrame, late: str | None) -> DataFrame:
+    """With ``late``, events under a watermark; that needs times with a zone, so times without one are read in the session's."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if late else events
+
+
 def tumbling(events: DataFrame, size: str = "1 hour", late: str | None = None) -> DataFrame:
     """Count and mean value of each event type in windows of one size; ``late`` sets the watermark of a stream."""
-    e = events.withWatermark("ts", late) if late else events
+    e = _late(events, late)
     g = e.groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.avg("value").alias("mean_value"))
     return g.select(F.col("w.start").alias("start"), "event_type", "n", "mean_value")
 
 
 def sliding(events: DataFrame, size: str = "1 hour", step: str = "15 minutes", late: str | None = None) -> DataFrame:
-    e = events.withWatermark("ts", late) if late else events
+    e = _late(events, late)
     return e.groupBy(F.window("ts", size, step).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "n")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = None) -> DataFrame:
     """Sessions of each user: events less than ``gap`` apart."""
-    e = events.withWatermark("ts", late) if late else events
+    e = _late(events, late)
     g = e.groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count("*").alias("n"))
     return g.select("user_id", F.col("w.start").alias("start"), "n")
 
 
 def distinct_events(events: DataFrame, late: str | None = None) -> DataFrame:
     """Each event id once; on a stream, within the watermark."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"]) if late else events.dropDuplicates(["event_id"])
+    return _late(events, late).dropDuplicatesWithinWatermark(["event_id"]) if late else events.dropDuplicates(["event_id"])
 
 
 def read_events(spark: SparkSession, folder: str, schema, files: int = 100) -> DataFrame:
