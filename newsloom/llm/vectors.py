@@ -234,7 +234,7 @@ CURVES, LANDMARKS, DRAWN, AXES, BITS = 3, 4096, 4, 4, 15
 SHARPNESS = 30.0
 REDUCED_KNN = 256
 #: Vectors of one range, block of vectors compared with itself and the next one.
-RANGE, BLOCK = 8192, 1024
+RANGE, BLOCK = 16384, 2048
 
 
 def hilbert(q: np.ndarray, bits: int) -> np.ndarray:
