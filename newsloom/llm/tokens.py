@@ -96,8 +96,7 @@ def differencing(sizes: list[int], m: int) -> list[int]:
 def fill(sizes: list[int], capacity: int) -> tuple[list[int], int]:
     """Containers for items of at most ``capacity``: the smallest number that holds the sum, raised until no container overflows.
 
-    Empty items (size 0) take a place like any other. A last pass moves nothing: it is the partition of the
-    differencing that is returned.
+    Empty items (size 0) take a place like any other.
     """
     if not sizes:
         return [], 0
@@ -110,7 +109,7 @@ def fill(sizes: list[int], capacity: int) -> tuple[list[int], int]:
         over = loads.max(initial=0) - capacity
         if over <= 0 or m >= len(ranked):
             break
-        m += max(1, int((loads > capacity).sum()) // 8)
+        m += 1
     where = [0] * len(sizes)
     for i, c in zip(order, got):
         where[i] = c
