@@ -30,7 +30,7 @@ FURNITURE = {
     ),
     "de": (
         "^veröffentlicht 0", "^aktualisiert um", "lesezeit 0 min", "^0 mal geteilt$", "^0-mal geteilt$", "^0 kommentare$", "^0 kommentar$", "^artikel teilen", "^teilen ", "^link kopieren", "^für später merken", "^folgen sie uns", "^diskutieren sie mit", "^zum kommentieren", "^newsletter bestellen",
-        "jeden morgen in ihrem postfach", "^artikel anhören", "^hat ihnen der text gefallen", "^weiterlesen nach", "^anzeige$", "^gesponserter", "^bezahlter inhalt", "^wir verwenden cookies", "partner speichern informationen", "ihre zustimmung zu kleinen dateien", "^über uns |", "^nachdruck", "mit schriftlicher genehmigung von",
+        "jeden morgen in ihrem postfach", "^artikel anhören", "^hat ihnen der text gefallen", "^weiterlesen nach", "^anzeige$", "^gesponserter", "^gesponsert$", "^bezahlter inhalt", "^wir verwenden cookies", "partner speichern informationen", "ihre zustimmung zu kleinen dateien", "^über uns |", "^nachdruck", "mit schriftlicher genehmigung von",
         "^der beitrag gibt die meinung", "^dieser text ist zuerst", " berichtet aus der redaktion", ", korrespondenz für", " schreibt seit 0 ", "^laden sie",
     ),
     "it": (
@@ -93,6 +93,8 @@ FUNCTION_WORDS = {
 ERRORS = (
     "not found", "404", "error 0", "erreur 0", "fehler 0", "errore 0", "erro 0", "ошибка 0", "错误0", "http 0", "forbidden", "access denied", "accès refusé", "acceso denegado", "zugriff verweigert", "accesso negato", "acesso negado", "доступ запрещён", "доступ закрыт", "拒绝访问", "访问被拒绝",
     "bad request", "bad gateway", "time-out", "timed out", "too many requests", "service unavailable", "not available at the moment", "internal server error", "traceback", "typeerror", "referenceerror", "exception in ", "stack trace", "database connection", "at edge-", "secure connection failed",
+    "^gone$", "^0 gone$", "^conflict$", "unavailable for legal reasons", "request timeout", "method not allowed", "not acceptable", "payment required", "not implemented", "{\"error\"", "#0-0)", "<hr><center>",
+    "nicht erreichbar", "the server answered", "le serveur a répondu", "el servidor respondió", "der server antwortete", "il server ha risposto", "o servidor respondeu", "сервер ответил", "服务器返回",
     "javascript", "scripts enabled", "blocks scripts", "scripts must be allowed", "enable scripts", "blockiert skripte", "bloque les scripts", "bloquea los scripts", "blocca gli script", "bloqueia os scripts", "блокирует скрипты", "скрипты", "脚本", "not a robot", "robot", "roboter", "робот", "机器人", "captcha",
     "something went wrong", "unauthorized", "unauthorised", "server error", "algo salió mal", "algo ha salido mal", "une erreur est survenue", "ist etwas schiefgelaufen", "qualcosa è andato storto", "algo correu mal", "что-то пошло не так", "出了问题", "non disponibile", "no está disponible", "indisponible", "nicht verfügbar", "não está disponível", "indisponível", "недоступ", "不可用", "请稍后再试",
     "has been taken down", "link has run out", "n'est plus en ligne", "ya no está disponible", "nicht mehr verfügbar", "nicht mehr online", "non è più disponibile", "non è più online", "já não está disponível", "удалена", "больше недоступн", "已删除", "已被移除", "找不到", "does not exist", "no longer exists", "page introuvable", "página no encontrada", "página não encontrada", "pagina non trovata", "seite nicht gefunden", "страница не найдена", "页面不存在",
@@ -101,5 +103,9 @@ ERRORS = (
 #: Filler and undefined values that stand where content should.
 FILLERS = (
     "test test", "insertar ", "titular de ejemplo", "sustituya este párrafo", "escriba aquí su texto", "substitua este parágrafo", "o seu texto aqui", "inserir ", "inserire ", "insérer ", "votre texte ici", "remplacez ce paragraphe", "ihr text hier", "hier steht ihr text", "ersetzen sie diesen absatz", "einfügen", "il tuo testo qui", "sostituisci questo paragrafo", "titolo di esempio", "titre d'exemple", "exemple de titre", "beispielüberschrift", "beispieltitel", "título de exemplo", "ваш текст", "замените этот абзац", "вставить ", "вставьте", "пример заголовка", "образец заголовка", "在此输入", "此处插入", "替换此段", "示例标题", "插入",
+    "请在此处输入", "替换本段", "à rédiger", "chapeau de 0 signes", "0 zeichen ", "0 battute", "0 знаков", "0字符", "de 0 caracteres",
     "lorem ipsum", "your text goes here", "replace this paragraph", "sample headline", "layout purposes", "body copy to follow", "copy to follow", "placeholder text", "dummy text", "text to come", "insert intro", "insert headline", "insert body", "[object object]", "undefined undefined", "null - null", "texto de relleno", "blindtext", "texte de remplissage", "testo segnaposto", "texto de preenchimento", "текст-заполнитель", "占位文字",
 )
+
+#: Of the messages, those no article quotes: beside one of them a lone sentence is part of the message.
+MACHINE = ("traceback: ", "typeerror: ", "referenceerror: ", "at edge-0", "<hr><center>", "{\"error\"", "gateway time-out after", "#0-0)")
