@@ -99,24 +99,33 @@ def _partition(v: DataFrame, dimension: int) -> DataFrame:
         hint = F.broadcast if n_big <= BROADCAST_GROUPS else (lambda x: x)
         big = v.join(hint(sizes), "cell")
         each = F.greatest(F.lit(1), (F.col("count") / PIVOTS).cast("long"))
-        pivots = (
-            big.where(F.pmod(F.xxhash64("id", F.lit(step)), each) == 0)
-            .groupBy("cell").agg(F.slice(F.array_sort(F.collect_list("v")), 1, 2 * PIVOTS).alias("pivots"))
-        )
+
+        axes = directions(dimension, REDUCED, step)
+
+        def reduced(pdf: pd.DataFrame) -> pd.DataFrame:
+            z = matrix(pdf.sort_values("id", kind="stable")["v"], dimension) @ axes  # noqa: B023 - used within this step
+            z /= np.maximum(np.linalg.norm(z, axis=1), 1e-9)[:, None]
+            return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "p": [z.astype(np.float16).tobytes()]})
+
+        # between PIVOTS and 2 x PIVOTS rows of each group, as reduced vectors of 256 bytes
+        picked = big.where(F.pmod(F.xxhash64("id", F.lit(step)), each) == 0)
+        pivots = picked.select("cell", "id", "v").groupBy("cell").applyInPandas(reduced, "cell string, p binary")
         rest = v.join(hint(sizes.select("cell")), "cell", "left_anti")
+        held = v.sparkSession.sparkContext.broadcast({r.cell: r.p for r in pivots.collect()} if n_big <= BROADCAST_GROUPS else None)
 
-        def run(batches: Iterator[pa.RecordBatch], step: int = step) -> Iterator[pa.RecordBatch]:
-            r = directions(dimension, REDUCED, step)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            r, known = axes, held.value  # noqa: B023 - pickled within this step
             for b in batches:
                 df = b.to_pandas()
                 out = []
                 for cell, g in df.groupby("cell", sort=False):
-                    p = matrix(g["pivots"].iloc[0], dimension) @ r
-                    z = matrix(g["v"], dimension) @ r
-                    p /= np.maximum(np.linalg.norm(p, axis=1), 1e-9)[:, None]
-                    m = min(OVERLAP, len(p))
-                    near = np.argpartition(-(z @ p.T), m - 1, axis=1)[:, :m]
-                    at = np.repeat(np.arange(len(g)), m)
+                    blob = known.get(cell) if known is not None else g["p"].iloc[0]
+                    at, near = np.arange(len(g)), np.zeros((len(g), 1), np.int64)
+                    if blob is not None:
+                        p = np.frombuffer(blob, np.float16).reshape(-1, r.shape[1]).astype(np.float32)
+                        m = min(OVERLAP, len(p))
+                        near = np.argpartition(-(matrix(g["v"], dimension) @ r @ p.T), m - 1, axis=1)[:, :m]
+                        at = np.repeat(at, m)
                     out.append(pd.DataFrame({
                         "topic": g["topic"].to_numpy()[at], "cell": [f"{cell}/{k}" for k in near.ravel()],
                         "id": g["id"].to_numpy()[at], "v": g["v"].to_numpy()[at],
@@ -124,7 +133,8 @@ def _partition(v: DataFrame, dimension: int) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_pandas(pd.concat(out), schema=_CELLS, preserve_index=False)
 
-        split = big.join(hint(pivots), "cell").select("topic", "cell", "id", "v", "pivots").mapInArrow(run, "topic string, cell string, id string, v binary")
+        rows = big.select("topic", "cell", "id", "v")
+        split = (rows if n_big <= BROADCAST_GROUPS else rows.join(pivots, "cell", "left").select("topic", "cell", "id", "v", "p")).mapInArrow(run, "topic string, cell string, id string, v binary")
         v = shared(rest.select("topic", "cell", "id", "v").unionByName(split))
     return v
 

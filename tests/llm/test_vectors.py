@@ -101,3 +101,11 @@ def test_nearest_recall_over_many_ranges(spark):
     got = {r.id: {n.id for n in r.neighbours} for r in V.nearest(rows(spark, x, ids), 5, landmarks=200, span=128, block=64).collect()}
     want = exact(x, ids, 5)
     assert np.mean([len(got[i] & set(w)) / 5 for i, w in want.items()]) >= 0.9
+
+
+def test_pivots_joined_by_shuffle_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(V, "CELL", 30)
+    f = rows(spark, blobs(10, 8, 21))
+    a = {(r.id_a, r.id_b) for r in V.cluster_pairs(V.clusters(f)).collect()}
+    monkeypatch.setattr(V, "BROADCAST_GROUPS", 0)
+    assert a == {(r.id_a, r.id_b) for r in V.cluster_pairs(V.clusters(f)).collect()} and len(a) == 10 * 28
