@@ -20,7 +20,8 @@ import numpy as np
 BITS = 15
 BUCKETS = 1 << 15
 AMBIGUOUS = 0.6
-RELABEL = 0.95
+FIRST = 3
+RELABEL = 0.5
 FIRM = 3
 EPOCHS = 6
 STEP = 0.2
@@ -156,8 +157,8 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str], votes:
     """Fit on a bounded sample of labelled texts; labels outside ``languages`` count as unknown.
 
     Log-odds of counts start each bit's classifier; ``EPOCHS`` full steps of logistic regression with
-    per-weight step sizes then sharpen it. Midway, texts the decoder is sure of take the decoded label,
-    unless ``votes`` says that several pages agree on theirs; such texts also pull more.
+    per-weight step sizes then sharpen it. A short first fit only serves to correct labels, unless ``votes``
+    says that several pages agree on a text's; such texts also pull more.
     """
     index = {x: i for i, x in enumerate(languages)}
     y = np.array([index.get(x, -1) for x in labels], np.int64) if labels else np.zeros(0, np.int64)
@@ -178,8 +179,15 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str], votes:
         for b in range(bits):
             margins[:, b] = np.add.reduceat(model.weights[0, b][tri] + model.weights[1, b][tet], starts) / root
 
-    forward()
-    for epoch in range(EPOCHS):
+    # a short first fit finds wrong labels: texts it reads otherwise take its label, if only a page or two spoke for theirs
+    for epoch in range(FIRST + EPOCHS):
+        if epoch in (0, FIRST):
+            if epoch:
+                got, sure = model.nearest(margins)
+                y = np.where(firm | (sure < RELABEL), y, got)
+                model.weights = _from_counts(_count(texts, y, k), languages, codes).weights
+                grown[:] = 1e-3
+            forward()
         target = codes[np.maximum(y, 0)]
         pull = target / (1 + np.exp(np.clip(target * margins, -30, 30))) * ((y >= 0) * heft / root)[:, None]
         for b in range(bits):
@@ -190,14 +198,7 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str], votes:
                 grown[t, b] += g * g
                 model.weights[t, b] += STEP * g / np.sqrt(grown[t, b])
         forward()
-        if epoch == EPOCHS // 2:
-            y = np.where(firm, y, _relabel(model, margins, y))
     known = y >= 0
     right = ((margins[known] * codes[y[known]]) > 0).mean(0) if known.any() else np.full(bits, 0.5)
     model.trust = np.clip(np.log((right + 0.01) / (1.01 - right)), 0.1, 4).astype(np.float32)
     return model
-
-
-def _relabel(model: Model, margins: np.ndarray, y: np.ndarray) -> np.ndarray:
-    got, sure = model.nearest(margins)
-    return np.where(sure > RELABEL, got, y)
