@@ -121,6 +121,12 @@ def language_names(names: DataFrame) -> dict[str, str]:
     return out
 
 
+def _group_of(line: str) -> str:
+    """Form of a line; a line that is nearly all names, such as a menu, stands for itself."""
+    form = headline_form(line) if len(line) < 400 else line
+    return form if sum(c.isalpha() and c != "X" for c in form) >= 10 else line.lower()
+
+
 def fit_languages(feeds: DataFrame, names: dict[str, str], label: str = "language", text: str = "raw_text", id_col: str = "id", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> ecoc.Model:
     """Classifiers from a bounded sample of about ``rows`` labelled texts of up to ``chars`` characters, taken by hash of the id.
 
@@ -141,7 +147,7 @@ def fit_languages(feeds: DataFrame, names: dict[str, str], label: str = "languag
         for x in r.text.splitlines():
             x = _TARGET.sub(" ", x.strip())
             if len(x) >= 15:
-                own, votes = groups.setdefault(headline_form(x) if len(x) < 400 else x, ([], Counter()))
+                own, votes = groups.setdefault(_group_of(x), ([], Counter()))
                 if len(own) < 3 and x not in own:
                     own.append(x)
                 votes[r.label] += 1
@@ -203,8 +209,7 @@ def _languages_of(rows: list[tuple], model: ecoc.Model, names: dict[str, str], f
                     wanted[x] = None
         pages.append((i, lab, lines))
     texts = list(wanted)
-    best, sure = model.decode(texts)
-    fresh = dict(zip(texts, zip(best.tolist(), sure.tolist())))
+    fresh = _decode(texts, model)
     out: list[list] = [[], [], [], [], []]
     for i, lab, lines in pages:
         votes: Counter = Counter()
@@ -225,7 +230,7 @@ def _languages_of(rows: list[tuple], model: ecoc.Model, names: dict[str, str], f
         segs = [
             {"line_no": n + 1, "language": model.languages[lang], "confidence": conf, "ambiguous": conf < ecoc.AMBIGUOUS}
             for (n, s, _, _), (lang, conf) in zip(lines, got)
-            if len(s) >= min_line and lang >= 0 and lang != main and written_as(model.languages[lang], s)
+            if len(s) >= min_line and lang >= 0 and lang != main and written_as(s)
         ]
         for col, v in zip(out, (i, code, confidence, named_language(lab, names) == code, segs)):
             col.append(v)
@@ -235,15 +240,44 @@ def _languages_of(rows: list[tuple], model: ecoc.Model, names: dict[str, str], f
     return batch_of({"id": (out[0], pa.string()), "language": (out[1], pa.string()), "confidence": (out[2], pa.float32()), "label_ok": (out[3], pa.bool_()), "segments": (out[4], _SEGMENTS)})
 
 
-_SCRIPTS = {"zh": re.compile(r"[\u3400-\u9fff]"), "ru": re.compile(r"[\u0400-\u04ff]")}
+_CYRILLIC, _HAN, _LATIN = re.compile(r"[\u0400-\u04ff]"), re.compile(r"[\u3400-\u9fff]"), re.compile(r"[A-Za-z\u00c0-\u024f]")
+_INNER_NAME = re.compile(r"(?<=\s)[A-ZÀ-ÖØ-ÞА-ЯЁ][\w’'-]*")
+#: Below this confidence a short line is read once more without its capitalised words, which are mostly names.
+SECOND_LOOK = 0.7
+
+
+def _decode(texts: list[str], model: ecoc.Model) -> dict[str, tuple[int, float]]:
+    """Language index and confidence of each text, checked against the script its letters are of.
+
+    Most letters Cyrillic, or a fifth Han: the language of that script; otherwise not one of these.
+    """
+    best, sure = model.decode(texts)
+    at = [i for i, t in enumerate(texts) if sure[i] < SECOND_LOOK and len(t) < 120]
+    if at:
+        bare = [_INNER_NAME.sub(" ", texts[i]) for i in at]
+        b2, s2 = model.decode(bare)
+        for i, t, b, c in zip(at, bare, b2, s2):
+            if c > sure[i] and sum(ch.isalpha() for ch in t) >= 10:
+                best[i], sure[i] = b, c
+    code = {x: i for i, x in enumerate(model.languages)}
+    out = {}
+    for t, b, c in zip(texts, best.tolist(), sure.tolist()):
+        cyrillic, han = len(_CYRILLIC.findall(t)), len(_HAN.findall(t))
+        if cyrillic or han or model.languages[b] in ("ru", "zh"):
+            latin = len(_LATIN.findall(t))
+            n = cyrillic + han + latin
+            want = "zh" if han * 5 >= n > 0 else "ru" if cyrillic * 2 >= n > 0 else None
+            if want in code and code[want] != b:
+                b, c = code[want], max(c, 0.9)
+            elif want is None and model.languages[b] in ("ru", "zh"):
+                b, c = -1, 0.0
+        out[t] = (b, c)
+    return out
 
 
-def written_as(language: str, line: str) -> bool:
-    """Exact check after decoding: the line has letters of the language's script, and words rather than one long code."""
-    script = _SCRIPTS.get(language)
-    if script:
-        return bool(script.search(line))
-    return line.count(" ") * 25 >= len(line)
+def written_as(line: str) -> bool:
+    """Exact check after decoding: words rather than one long code."""
+    return line.count(" ") * 25 >= len(line) or bool(_HAN.search(line))
 
 
 def language_findings(found: DataFrame, floor: float = 0.1) -> DataFrame:
