@@ -135,7 +135,7 @@ def _partition(v: DataFrame, dimension: int) -> DataFrame:
 
         rows = big.select("topic", "cell", "id", "v")
         split = (rows if n_big <= BROADCAST_GROUPS else rows.join(pivots, "cell", "left").select("topic", "cell", "id", "v", "p")).mapInArrow(run, "topic string, cell string, id string, v binary")
-        v = shared(rest.select("topic", "cell", "id", "v").unionByName(split))
+        v = rest.select("topic", "cell", "id", "v").unionByName(shared(split))
     return v
 
 
