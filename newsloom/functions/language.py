@@ -22,14 +22,14 @@ MODEL_CODES = {"en": "eng_Latn", "fr": "fra_Latn", "de": "deu_Latn", "es": "spa_
 
 def detect(c: Column, least: int = 1) -> Column:
     """Code of the language whose words are most frequent; scripts decide for Russian and Chinese; 'en' where nothing speaks for any."""
-    w = X.words(c)
+    def best_of(w: Column) -> Column:
+        def hits(own: tuple[str, ...]) -> Column:
+            return F.size(F.filter(w, lambda x: x.isin(*own)))
 
-    def hits(own: tuple[str, ...]) -> Column:
-        return F.size(F.filter(w, lambda x: x.isin(*own)))
+        scores = [F.struct(hits(p).alias("n"), F.lit(-i).alias("i"), F.lit(code).alias("code")) for i, (code, p) in enumerate(PROFILES.items())]
+        return X.let(F.array_max(F.array(*scores)), lambda best: F.when(best["n"] >= least, best["code"]).otherwise("en"))
 
-    scores = F.array(*[F.struct(hits(p).alias("n"), F.lit(-i).alias("i"), F.lit(code).alias("code")) for i, (code, p) in enumerate(PROFILES.items())])
-    best = F.array_max(scores)
-    by_words = F.when(best["n"] >= least, best["code"]).otherwise("en")
+    by_words = X.let(X.words(c), best_of)
     return F.when(c.rlike("[\\x{3400}-\\x{9FFF}]"), "zh").when(c.rlike("[\\x{0400}-\\x{04FF}]{3}"), "ru").otherwise(F.coalesce(by_words, F.lit("en")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,11 @@ TERMINATORS = ".!?।؟。！？"
 WORD = r"[\p{L}\p{N}_\p{M}]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often and inside whatever lambda it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def clean(c: Column) -> Column:
     """Text without markup, links, headings, code, addresses and long numbers; lines squeezed, blank lines gone."""
     for pattern, by in CLEAN_STEPS:
@@ -106,9 +113,13 @@ def signature(c: Column) -> Column:
 
 def unique_bigram_ratio(c: Column) -> Column:
     """Distinct word pairs over word pairs; null below two words."""
-    w = words(c)
-    pairs = F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.when(F.size(w) >= 2, F.size(F.array_distinct(pairs)) / F.size(pairs))
+    return let(words(c), lambda w: F.when(F.size(w) >= 2, let(bigrams(w), lambda p: F.size(F.array_distinct(p)) / F.size(p))))
+
+
+def bigrams(w: Column) -> Column:
+    """Pairs of neighbouring words of an array; none below two words."""
+    n = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat_ws(" ", a, b))
 
 
 CAPITALISED = r"((?:[A-Z][\p{L}\p{N}'-]*)(?: [A-Z][\p{L}\p{N}'-]*){0,3})"
@@ -119,8 +130,8 @@ NUMBERS = r"([0-9]+(?:[.,][0-9]+)*)"
 def entities(c: Column, most: int = 50) -> Column:
     """Struct of names, dates and numbers by pattern; case-insensitive duplicates keep their first spelling."""
     def first_spelling(found: Column) -> Column:
-        low = F.transform(found, F.lower)
-        return F.slice(F.filter(found, lambda x, i: F.array_position(low, F.lower(x)) == i + 1), 1, most)
+        both = F.struct(found.alias("f"), F.transform(found, F.lower).alias("l"))
+        return let(both, lambda s: F.slice(F.filter(s["f"], lambda x, i: F.array_position(s["l"], F.lower(x)) == i + 1), 1, most))
 
     return F.struct(
         first_spelling(F.regexp_extract_all(c, F.lit(CAPITALISED), 1)).alias("names"),

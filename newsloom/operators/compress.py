@@ -17,11 +17,13 @@ def sentence_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 def terms(sentences: DataFrame, key: str = "doc_id", bigrams: bool = True) -> DataFrame:
     """(key, i, n, term, tf) with one row for each distinct term of a sentence.
 
-    Pairs of words count as terms too with ``bigrams``. All windows and groups are by document or sentence.
+    Pairs of words count as terms too with ``bigrams``. Sentences are dealt by document before they are
+    exploded: every later group and window is by document or finer, so the many term rows never move.
     """
-    w = X.words(F.col("sentence"))
-    all_terms = F.concat(F.col("w"), F.when(F.size("w") >= 2, F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.expr("cast(array() as array<string>)"))) if bigrams else F.col("w")
-    return sentences.withColumn("w", w).select(key, "i", "n", F.explode(all_terms).alias("term")).groupBy(key, "i", "n", "term").agg(F.count("*").alias("tf"))
+    # a fixed number: adaptive merging would judge by the small sentences, not by the terms that come of them
+    sentences = sentences.repartition(int(sentences.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    found = X.let(X.words(F.col("sentence")), lambda w: F.concat(w, X.bigrams(w)) if bigrams else w)
+    return sentences.select(key, "i", "n", F.explode(found).alias("term")).groupBy(key, "i", "n", "term").agg(F.count("*").alias("tf"))
 
 
 def weights(t: DataFrame, key: str = "doc_id", max_share: float = 1.0) -> DataFrame:
@@ -36,14 +38,14 @@ def weights(t: DataFrame, key: str = "doc_id", max_share: float = 1.0) -> DataFr
 def redundancy(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, redundancy): mean similarity of two sentences, 0 below three sentences.
 
-    Rows have unit length, so the sum over all pairs is the squared norm of their sum less n: no pair is formed.
+    Rows have unit length, so the sum over all pairs is the squared norm of their sum less the number of rows,
+    which is the sum of all squares: no pair is formed and the terms are read once. Sentences without terms
+    have similarity 0 to all others.
     """
     v = weights(terms(sentence_rows(docs, key, text), key), key)
-    per_term = v.groupBy(key, "n", "term").agg(F.sum("v").alias("s"))
-    rows = v.groupBy(key).agg(F.countDistinct("i").alias("rows"))
-    r = per_term.groupBy(key, "n").agg(F.sum(F.col("s") * F.col("s")).alias("q")).join(rows, key)
-    # sentences without terms have similarity 0 to all others
-    mean = (F.col("q") - F.col("rows")) / (F.col("n") * (F.col("n") - 1))
+    per_term = v.groupBy(key, "n", "term").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"))
+    r = per_term.groupBy(key, "n").agg((F.sum(F.col("s") * F.col("s")) - F.sum("q")).alias("pairs"))
+    mean = F.col("pairs") / (F.col("n") * (F.col("n") - 1))
     return r.select(key, F.when(F.col("n") >= 3, F.greatest(mean, F.lit(0.0))).otherwise(0.0).alias("redundancy"))
 
 
