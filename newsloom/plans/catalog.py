@@ -518,6 +518,121 @@ def st3_sessions(spark, d):
     return W.sessions(_t(spark, d, "events"))
 
 
+# more filters, sets and orders
+
+
+@_query(f"select id from {_once('flashpoint_id', 'url', 'title')} where id is not null and flashpoint_id is not null and url is not null and title is not null")
+def src6_valid_rows(spark, d):
+    return S.valid(_feeds(spark, d, "flashpoint_id", "url", "title"), "feed").select("id")
+
+
+@_query(f"select flashpoint_id, count(*) as n from {_once('flashpoint_id', 'embedding')} where len(embedding) > 0 group by 1")
+def src21_collections(spark, d):
+    return _feeds(spark, d, "flashpoint_id", "embedding").where(F.size("embedding") > 0).groupBy("flashpoint_id").agg(F.count("*").alias("n"))
+
+
+@_query(f"select id, created_at from {_once('created_at')} order by created_at, id limit 50 offset 10")
+def o2_page(spark, d):
+    return _feeds(spark, d, "created_at").orderBy("created_at", "id").offset(10).limit(50)
+
+
+@_query(f"select id, flashpoint_id from (select *, row_number() over (partition by flashpoint_id order by created_at, id) as r from {_once('flashpoint_id', 'created_at')}) where r <= 5")
+def f14_first_feeds(spark, d):
+    w = Window.partitionBy("flashpoint_id").orderBy("created_at", "id")
+    return _feeds(spark, d, "flashpoint_id", "created_at").withColumn("r", F.row_number().over(w)).where("r <= 5").select("id", "flashpoint_id")
+
+
+@_query(f"select url, 'feed' as origin from {_once('url')} union all select url, 'api' as origin from api_articles where url is not null")
+def d1_union(spark, d):
+    a = _feeds(spark, d, "url").select("url", F.lit("feed").alias("origin"))
+    return a.unionByName(_t(spark, d, "api_articles").where("url is not null").select("url", F.lit("api").alias("origin")))
+
+
+@_query("select distinct url from api_articles where url is not null and url not in (select url from feeds where url is not null)")
+def j7_never_scraped(spark, d):
+    return _t(spark, d, "api_articles").select("url").where("url is not null").distinct().join(_t(spark, d, "feeds").select("url"), "url", "left_anti")
+
+
+@_query("""select id, array_to_string(list_transform(list_sort(list_transform(generate_subscripts_list, i -> i)), i -> domains[i]), '|') as domains from (
+    select id, domains, list_filter(range(1, len(domains) + 1), lambda i: list_position(domains, domains[i]) = i) as generate_subscripts_list from flashpoints)""".replace("list_transform(list_sort(list_transform(generate_subscripts_list, i -> i)), i -> domains[i])", "list_transform(generate_subscripts_list, lambda i: domains[i])"))
+def d6_list_dedup(spark, d):
+    return _t(spark, d, "flashpoints").select("id", F.array_join(F.array_distinct("domains"), "|").alias("domains"))
+
+
+@_query("select label, count(*) as article_count, min(vec_id) as first_id from embeddings where label <> -1 group by 1")
+def a1_label_groups(spark, d):
+    return _t(spark, d, "embeddings").where("label <> -1").groupBy("label").agg(F.count("*").alias("article_count"), F.min("vec_id").alias("first_id"))
+
+
+@_query(f"""select flashpoint_id, string_agg('[' || coalesce(nullif(domain, ''), 'unknown') || '] ' || title, ' -- ' order by created_at, id) as text from {_once('flashpoint_id', 'domain', 'title', 'created_at')} where title is not null group by 1""")
+def a8_cluster_text(spark, d):
+    f = _feeds(spark, d, "flashpoint_id", "domain", "title", "created_at").where("title is not null")
+    f = f.withColumn("text", F.concat(F.lit("["), TP.or_unknown(F.col("domain")), F.lit("] "), "title"))
+    return A.ordered_concat(f, ["flashpoint_id"], ["created_at", "id"], "text", " -- ")
+
+
+# more text
+
+
+@_query(rf"""select doc_id, coalesce(string_agg(line, chr(10) order by pos), '') as text from (select doc_id, line, min(pos) as pos from (
+        select doc_id, trim(regexp_replace(line, '[ \t\r\f\x0B\n]+', ' ', 'g')) as line, pos from (
+            select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as pos from (
+                select doc_id, string_split(regexp_replace(text, '(?i)\b(?:cookie policy|privacy policy|advertisement|subscribe now|sign in to|all rights reserved)\b[^\n]*', '', 'g'), chr(10)) as ls from documents where text is not null)))
+    where line <> '' group by 1, 2) group by 1""")
+def t6_pre_clean(spark, d):
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", X.pre_clean(F.col("text")).alias("text")).where("text <> ''")
+
+
+@_query(rf"""select doc_id, coalesce(len(regexp_extract_all(text, '([\p{{L}}\p{{N}}_\p{{M}}]+|[^\p{{L}}\p{{N}}_\p{{M}}\s])')), 0) as tokens,
+    coalesce(len(regexp_extract_all(text, '([\p{{L}}\p{{N}}_\p{{M}}]+|[^\p{{L}}\p{{N}}_\p{{M}}\s])')), 0) <= 512 as fits from documents where text is not null and not regexp_matches(text, '\x0B')""")
+def t18_token_fit(spark, d):
+    n = X.token_count(F.col("text")).cast("long")
+    return _t(spark, d, "documents").where("text is not null and not text rlike '\\x0B'").select("doc_id", n.alias("tokens"), (n <= 512).alias("fits"))
+
+
+@_query(f"""with {_weights_sql()}, rs as (select doc_id, i, sum(v) as total from v group by 1, 2),
+    sc as (select x.doc_id, x.i, x.n, coalesce(total, 0) + 0.1::double * regexp_matches(x.s, '[0-9]')::int as score from {_SENTENCES} x left join rs using (doc_id, i))
+    select doc_id, i::integer as i from (select *, row_number() over (partition by doc_id order by round(score, 9) desc, i desc) as rank from sc) where rank <= greatest(1, floor(n * 0.3::double))""")
+def t17_fraction(spark, d):
+    s = Z.sentence_rows(_t(spark, d, "documents"))
+    total = Z.weights(Z.terms(s)).groupBy("doc_id", "i").agg(F.sum("v").alias("total"))
+    score = F.coalesce("total", F.lit(0.0)) + 0.1 * F.col("sentence").rlike("[0-9]").cast("int")
+    scored = s.join(total, ["doc_id", "i"], "left").select("doc_id", "i", "n", score.alias("score"), F.lit(False).alias("forced"))
+    return Z.top_k(scored, F.lit(0.3)).select("doc_id", "i")
+
+
+@_query(f"""select doc_id, i::integer as i, round(case when n > 1 then 1 - 0.15::double * i / (n - 1) else 1.0::double end, 6) as weight from {_SENTENCES}""")
+def w5_position_weight(spark, d):
+    s = Z.sentence_rows(_t(spark, d, "documents"))
+    return s.select("doc_id", "i", F.round(F.when(F.col("n") > 1, 1 - 0.15 * F.col("i") / (F.col("n") - 1)).otherwise(1.0), 6).alias("weight"))
+
+
+@_query(f"""select doc_id, regexp_matches(title || ' ' || coalesce(text, ''), '{X.DATES}') as has_date, regexp_matches(title || ' ' || coalesce(text, ''), '[0-9]') as has_number from documents where title is not null""")
+def t21_quality_gates(spark, d):
+    t = F.concat_ws(" ", "title", "text")
+    return _t(spark, d, "documents").where("title is not null").select("doc_id", t.rlike(X.DATES).alias("has_date"), t.rlike("[0-9]").alias("has_number"))
+
+
+@_query()
+def t24_meta(spark, d):
+    """Heuristic meta of a document, normalised: lower-case domain, at most 6 topics and 10 names."""
+    e = X.entities(F.col("text"), 10)
+    topics = F.slice(F.array_distinct(F.filter(X.words(F.col("text")), lambda w: F.length(w) >= 4)), 1, 6)
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", F.lower(F.coalesce("source", F.lit("world"))).alias("domain"), topics.alias("topics"), e.alias("entities"))
+
+
+@_query()
+def c8_fallback(spark, d):
+    return C.label_topics(_topic_vectors(spark, d), lambda x: C.kmeans(x, C.fallback_k(len(x))))
+
+
+@_query()
+def pipeline_records(spark, d):
+    from . import pipeline
+
+    return pipeline.run(_t(spark, d, "feeds"), _t(spark, d, "flashpoints"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import language as L
 from ..functions import text as X
 from ..operators import aggregate, cluster, compress, topics
+from ..session import shared
 from . import plugins
 
 
@@ -47,9 +48,15 @@ def vectorise_stage(feeds: DataFrame, plugin: str = "default", keep: bool = True
 
 
 def run(feeds: DataFrame, flashpoints: DataFrame, budget: int = 1024) -> DataFrame:
-    """Cluster records of all topics that exist and have feeds."""
+    """Cluster records of all topics that exist and have feeds.
+
+    Texts are written after cleaning and after compression, so no stage computes the one before it again and a
+    lost executor costs one stage at most.
+    """
     known = feeds.join(flashpoints.select(F.col("id").alias("flashpoint_id")).distinct(), "flashpoint_id", "left_semi")
-    rows = vectorise_stage(summarise_stage(translate_stage(compress_stage(prepare(known), budget))))
+    narrow = known.select("id", "flashpoint_id", "url", "title", "domain", "language", "image", "raw_text", "embedding", "created_at")
+    ready = shared(compress_stage(shared(prepare(narrow)), budget).drop("raw_text"))
+    rows = shared(vectorise_stage(summarise_stage(translate_stage(ready))).drop("processed_text", "compressed_text", "raw_text_en"))
     labels = cluster.label_topics(rows.withColumnRenamed("flashpoint_id", "topic")).where("label >= 0")
     joined = rows.join(labels.select("id", F.col("label").alias("cluster_id")), "id")
     records = aggregate.cluster_records(joined, ["flashpoint_id", "cluster_id"], ["created_at", "id"])
