@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared  # noqa: F401 - used by the operators
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,23 +19,6 @@ def limits(spark: SparkSession, sf_dir: str) -> dict[str, int]:
     return {r.limit_name: int(r.amount) for r in table(spark, sf_dir, "size_limits").collect()}
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage by a checkpoint in the shared folder of the cluster.
-
-    The folder is ``spark.checkpoint.dir`` where the session names one; a folder of its own is made only
-    where the setting is absent, as in local tests.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        at = sc.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/newsloom-{uuid.uuid4().hex}"
-        sc.setCheckpointDir(at)
-    return df.checkpoint(eager=True)
-
-
-def map_arrow(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def batch_of(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
