@@ -7,6 +7,7 @@ numbers) are left out everywhere.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,6 +66,10 @@ def matrix(column, dimension: int = DIMENSION) -> np.ndarray:
     return x
 
 
+#: Groups of equal vectors up to which they are broadcast; beyond, they are joined by shuffle.
+BROADCAST_COPIES = 100_000
+
+
 def directions(dimension: int, size: int, seed: int) -> np.ndarray:
     """Orthonormal random directions for reduced vectors."""
     return np.linalg.qr(np.random.default_rng(seed).standard_normal((dimension, min(size, dimension))))[0].astype(np.float32)
@@ -340,31 +345,45 @@ def nearest(feeds: DataFrame, k: int, id_col: str = "id", embedding: str = "embe
     """(id, neighbours): the ``k`` most similar vectors of every usable vector, as ordered (similarity, id).
 
     Equally similar ids come in ascending order; an id is not its own neighbour and repeated ids count once.
-    The landmarks are a bounded sample (``curves`` x ``landmarks`` vectors); every vector is indexed. Each
-    curve is cut into ranges of about ``span`` vectors; a range compares each block of its vectors with
-    itself and the next block, the first vectors of the next range included, by matrix products.
+    Equal vectors are searched once, under their smallest id, and the neighbours found are expanded to the
+    smallest ids of each. The landmarks are a bounded sample (``curves`` x ``landmarks`` vectors); every distinct
+    vector is indexed. Each curve is cut into ranges of about ``span`` vectors; a range compares each block of
+    its vectors with itself and the next block, the first vectors of the next range included, by matrix products.
     """
     spark = feeds.sparkSession
-    f = feeds.select(F.col(id_col).cast("string").alias("id"), F.col(embedding).alias("embedding")).where("id is not null")
-    size = f.where(F.size("embedding") == dimension).count()
+    f = feeds.select(F.col(id_col).cast("string").alias("id"), F.col(embedding).alias("embedding")).where("id is not null and size(embedding) = %d" % dimension)
+    keyed = shared(_digests(f, dimension).distinct())
+    groups = keyed.groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+    copies = shared(groups.where("n > 1").select("h", "rep"))
+    n_copies = copies.count()
+    few = n_copies <= BROADCAST_COPIES
+    hint = F.broadcast if few else (lambda x: x)
+    size = groups.count()
     wanted = curves * landmarks
     share = F.lit(1 << 30) if size <= wanted else F.lit(int((1 << 30) * wanted / size))
-    sample = usable(f.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < share), "id", dimension=dimension).orderBy(F.xxhash64("id", F.lit(12)), "id").collect()
+    drawn = groups.where(F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(1 << 30)) < share).select(F.col("rep").alias("id"))
+    sample = usable(f.join(F.broadcast(drawn), "id", "left_semi").dropDuplicates(["id"]), "id", dimension=dimension).orderBy(F.xxhash64("id", F.lit(12)), "id").collect()
     if not sample:
         return spark.createDataFrame([], "id string, neighbours array<struct<similarity:float,id:string>>")
     marks = matrix([r.v for r in sample], dimension)
     own = np.array_split(np.arange(len(marks)), curves) if len(marks) >= 2 * wanted // 3 else [np.arange(len(marks))] * curves
-    held = spark.sparkContext.broadcast([Curve(marks[o], c, size) for c, o in enumerate(own)])
+    first = {r.h: r.rep for r in copies.collect()} if few else {}
+    held = spark.sparkContext.broadcast(([Curve(marks[o], c, size) for c, o in enumerate(own)], first))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines = held.value
+        lines, first = held.value
         for b in batches:
             rows, x = unit_vectors(b.column(1), dimension)
             if not len(rows):
                 continue
             ids = b.column(0).take(pa.array(rows))
-            spread = np.array([hash_fraction(i) for i in ids.to_pylist()])
             v = packed(x)
+            if first:
+                kept = [k for k, (i, h) in enumerate(zip(ids.to_pylist(), map(_digest, v.to_pylist()))) if first.get(h, i) == i]
+                if not kept:
+                    continue
+                x, ids, v = x[kept], ids.take(pa.array(kept)), v.take(pa.array(kept))
+            spread = np.array([hash_fraction(i) for i in ids.to_pylist()])
             for c, line in enumerate(lines):
                 p = line.positions(x, spread)
                 home = np.minimum(p // span, max((size - 1) // span, 0)).astype(np.int64)
@@ -376,7 +395,8 @@ def nearest(feeds: DataFrame, k: int, id_col: str = "id", embedding: str = "embe
                     names=["part", "p", "guest", "id", "v"],
                 )
 
-    placed = f.where(F.size("embedding") == dimension).mapInArrow(place, "part long, p double, guest boolean, id string, v binary")
+    searched = f if few else f.join(keyed.join(copies, "h").where("id <> rep").select("id"), "id", "left_anti")
+    placed = searched.mapInArrow(place, "part long, p double, guest boolean, id string, v binary")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("id").sort_values(["p", "id"], kind="stable")
@@ -387,7 +407,49 @@ def nearest(feeds: DataFrame, k: int, id_col: str = "id", embedding: str = "embe
     ranked = F.array_sort(F.array_distinct(F.transform("n", lambda x: F.struct((-x["similarity"]).alias("d"), x["id"].alias("id")))))
     # one id can come from two curves with similarities that differ in the last bit
     once = F.filter(ranked, lambda x, i: ~F.exists(F.slice(ranked, 1, i), lambda y: y["id"] == x["id"]))
-    return merged.select("id", F.transform(F.slice(once, 1, k), lambda x: F.struct((-x["d"]).alias("similarity"), x["id"].alias("id"))).alias("neighbours"))
+    found = merged.select("id", F.transform(F.slice(once, 1, k), lambda x: F.struct((-x["d"]).alias("similarity"), x["id"].alias("id"))).alias("neighbours"))
+    return _expanded(found, keyed, copies, k, hint) if n_copies else found
+
+
+def _digest(v: bytes) -> str:
+    return hashlib.md5(v, usedforsecurity=False).hexdigest()
+
+
+def _digests(f: DataFrame, dimension: int) -> DataFrame:
+    """(id, h) of the usable vectors; equal packed vectors have the same ``h``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, x = unit_vectors(b.column(1), dimension)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), pa.array([_digest(v) for v in packed(x).to_pylist()], pa.string())], names=["id", "h"])
+
+    return f.select("id", "embedding").mapInArrow(run, "id string, h string")
+
+
+def _expanded(found: DataFrame, keyed: DataFrame, copies: DataFrame, k: int, hint) -> DataFrame:
+    """Neighbours of every id from those of the distinct vectors, each under its smallest id.
+
+    The k + 1 smallest ids of a vector, its own copies included at similarity 1, give the best k of any of them.
+    """
+    from pyspark.sql import Window
+
+    # the rank filter is applied before the shuffle as well, so no task gets a whole large group
+    w = Window.partitionBy("h").orderBy("id")
+    members = keyed.join(hint(copies), "h").select("h", "rep", "id")
+    least = members.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1).groupBy("rep").agg(F.collect_list("id").alias("ids"))
+    least = shared(least)
+    found = shared(found)
+    own = least.select(F.col("rep").alias("id"), F.lit(1.0).cast("float").alias("similarity"), F.col("rep").alias("other"))
+    links = found.select("id", F.explode("neighbours").alias("n")).select("id", F.col("n.similarity").cast("float").alias("similarity"), F.col("n.id").alias("other"))
+    wide = links.unionByName(own).join(hint(least.withColumnRenamed("rep", "other")), "other", "left")
+    each = wide.select("id", "similarity", F.explode(F.coalesce("ids", F.array("other"))).alias("other"))
+    ranked = each.groupBy("id").agg(F.array_sort(F.collect_set(F.struct((-F.col("similarity")).alias("d"), F.col("other").alias("id")))).alias("n"))
+    ranked = found.select("id").unionByName(own.select("id")).distinct().join(ranked, "id", "left")
+    best = F.transform(F.slice(F.coalesce("n", F.array().cast("array<struct<d:float,id:string>>")), 1, k + 1), lambda x: F.struct((-x["d"]).cast("float").alias("similarity"), x["id"].alias("id")))
+    ranked = shared(ranked.select(F.col("id").alias("rep"), best.alias("n")))
+    alone = ranked.join(hint(copies.select("rep")), "rep", "left_anti").select(F.col("rep").alias("id"), "n")
+    many = members.join(hint(ranked.join(hint(copies.select("rep")), "rep", "left_semi")), "rep").select("id", "n")
+    return alone.unionByName(many).select("id", F.slice(F.filter("n", lambda x: x["id"] != F.col("id")), 1, k).alias("neighbours"))
 
 
 def hash_fraction(s: str) -> float:

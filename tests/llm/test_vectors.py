@@ -109,3 +109,15 @@ def test_pivots_joined_by_shuffle_give_the_same(spark, monkeypatch):
     a = {(r.id_a, r.id_b) for r in V.cluster_pairs(V.clusters(f)).collect()}
     monkeypatch.setattr(V, "BROADCAST_GROUPS", 0)
     assert a == {(r.id_a, r.id_b) for r in V.cluster_pairs(V.clusters(f)).collect()} and len(a) == 10 * 28
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_copies_beyond_a_window_link_to_the_smallest_ids(spark, broadcast, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr(V, "BROADCAST_COPIES", 0)
+    x = np.concatenate([np.repeat(blobs(1, 1, 9), 300, 0), np.repeat(blobs(1, 1, 9), 2, 0) * 3, np.random.default_rng(5).standard_normal((20, DIM)), np.repeat(blobs(1, 1, 10), 3, 0)])
+    ids = [f"i{k:04d}" for k in np.random.default_rng(1).permutation(len(x))]
+    f = rows(spark, x, ids)
+    got = {r.id: [n.id for n in r.neighbours] for r in V.nearest(f.unionByName(f.limit(9)), 5, landmarks=200, span=128, block=64).collect()}
+    want = exact(x, ids, 5)
+    assert got == want
