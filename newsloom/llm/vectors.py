@@ -84,6 +84,10 @@ CELL, PIVOTS, OVERLAP = 1500, 64, 4
 REDUCED = 128
 #: Partitioning steps; each makes cells about PIVOTS / OVERLAP times smaller.
 DEPTH = 6
+#: Share of a group that its largest cell may keep; above it the step is undone and the group stays whole.
+KEPT = 0.5
+#: Links of one cell up to which they are held; beyond, they are computed again block by block.
+HELD_LINKS = 4_000_000
 #: Groups in a step up to which their pivots are broadcast; beyond, they are joined by shuffle.
 BROADCAST_GROUPS = 500
 
@@ -92,9 +96,10 @@ def _partition(v: DataFrame, dimension: int) -> DataFrame:
     """Split groups of more than CELL vectors around pivots of reduced vectors, with overlapping margins.
 
     A pivot is a vector of the group taken by hash; a vector goes to the cells of its OVERLAP nearest pivots.
-    Repeats until every group fits or a step no longer helps, as with a group of nearly equal vectors; such a
-    group is clustered in blocks.
+    Repeats until every group fits or a step no longer helps, as with a group of nearly equal vectors: a group of
+    which one cell keeps more than KEPT stays whole and is clustered in blocks.
     """
+    whole = v.limit(0)
     for step in range(DEPTH):
         sizes = v.groupBy("cell").count().where(F.col("count") > CELL * (1 if step == 0 else OVERLAP))
         sizes = shared(sizes)
@@ -133,63 +138,72 @@ def _partition(v: DataFrame, dimension: int) -> DataFrame:
                         at = np.repeat(at, m)
                     out.append(pd.DataFrame({
                         "topic": g["topic"].to_numpy()[at], "cell": [f"{cell}/{k}" for k in near.ravel()],
-                        "id": g["id"].to_numpy()[at], "v": g["v"].to_numpy()[at],
+                        "id": g["id"].to_numpy()[at], "v": g["v"].to_numpy()[at], "weight": g["weight"].to_numpy()[at], "parent": cell,
                     }))
                 if out:
                     yield pa.RecordBatch.from_pandas(pd.concat(out), schema=_CELLS, preserve_index=False)
 
-        rows = big.select("topic", "cell", "id", "v")
-        split = (rows if n_big <= BROADCAST_GROUPS else rows.join(pivots, "cell", "left").select("topic", "cell", "id", "v", "p")).mapInArrow(run, "topic string, cell string, id string, v binary")
-        v = rest.select("topic", "cell", "id", "v").unionByName(shared(split))
-    return v
+        columns = ["topic", "cell", "id", "v", "weight"]
+        rows = big.select(*columns)
+        split = (rows if n_big <= BROADCAST_GROUPS else rows.join(pivots, "cell", "left").select(*columns, "p")).mapInArrow(run, "topic string, cell string, id string, v binary, weight long, parent string")
+        split = shared(split)
+        most = split.groupBy("parent", "cell").count().groupBy("parent").agg(F.max("count").alias("most"))
+        stuck = shared(most.join(sizes.withColumnRenamed("cell", "parent"), "parent").where(F.col("most") > F.col("count") * KEPT).select("parent"))
+        if not stuck.isEmpty():
+            whole = whole.unionByName(rows.join(hint(stuck.withColumnRenamed("parent", "cell")), "cell", "left_semi").select(*columns))
+            split = split.join(hint(stuck), "parent", "left_anti")
+        v = rest.select(*columns).unionByName(split.select(*columns))
+    return v.unionByName(whole)
 
 
-_CELLS = pa.schema([("topic", pa.string()), ("cell", pa.string()), ("id", pa.string()), ("v", pa.binary())])
+_CELLS = pa.schema([("topic", pa.string()), ("cell", pa.string()), ("id", pa.string()), ("v", pa.binary()), ("weight", pa.int64()), ("parent", pa.string())])
 
 
 def _local(pdf: pd.DataFrame, near: float, least: int, dimension: int) -> pd.DataFrame:
-    """Density clusters of one cell: core vectors have ``least`` vectors, themselves included, within ``near``."""
+    """Density clusters of one cell: core vectors have ``least`` vectors, themselves and all copies included, within ``near``.
+
+    ``weight`` is the number of equal vectors a row stands for.
+    """
     pdf = pdf.drop_duplicates("id").sort_values("id", kind="stable")
     x = matrix(pdf["v"], dimension)
+    weight = pdf["weight"].to_numpy(np.int64)
     n = len(x)
-    parent = np.arange(n)
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    neighbours = np.ones(n, np.int64)
-    links: list[tuple[np.ndarray, np.ndarray]] = []
     block = 1024
-    for a in range(0, n, block):
-        for b in range(a, n, block):
-            i, j = np.nonzero(x[a : a + block] @ x[b : b + block].T >= near)
-            i, j = i + a, j + b
-            own = i < j
-            i, j = i[own], j[own]
-            np.add.at(neighbours, i, 1)
-            np.add.at(neighbours, j, 1)
-            links.append((i, j))
+
+    def links() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for a in range(0, n, block):
+            for b in range(a, n, block):
+                i, j = np.nonzero(x[a : a + block] @ x[b : b + block].T >= near)
+                i, j = i + a, j + b
+                own = i < j
+                yield i[own], j[own]
+
+    neighbours = weight.copy()
+    held: list[tuple[np.ndarray, np.ndarray]] | None = []
+    total = 0
+    for i, j in links():
+        np.add.at(neighbours, i, weight[j])
+        np.add.at(neighbours, j, weight[i])
+        total += len(i)
+        if total > HELD_LINKS:
+            held = None
+        if held is not None:
+            held.append((i, j))
     core = neighbours >= least
-    border: dict[int, int] = {}
-    for i, j in links:
+    part = np.arange(n)  # smallest row of each row's component so far
+    border = np.full(n, n, np.int64)
+    for i, j in links() if held is None else held:
         both = core[i] & core[j]
-        for a, b in zip(i[both].tolist(), j[both].tolist()):
-            a, b = root(a), root(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-        for a, b in zip(i[~both].tolist(), j[~both].tolist()):
-            if core[a] or core[b]:
-                c, e = (a, b) if core[a] else (b, a)
-                border[e] = min(border.get(e, c), c)
-    label = np.array([root(i) if core[i] else root(border[i]) if i in border else -1 for i in range(n)], np.int64)
+        part = _united(part, i[both], j[both])
+        one = core[i] != core[j]
+        c, e = np.where(core[i[one]], i[one], j[one]), np.where(core[i[one]], j[one], i[one])
+        np.minimum.at(border, e, c)
+    label = np.where(core, part, np.where(border < n, part[np.minimum(border, n - 1)], -1))
     inside = np.flatnonzero(label >= 0)
     typical = np.zeros(n, np.float32)
     for c in np.unique(label[inside]):
         own = np.flatnonzero(label == c)
-        typical[own] = x[own] @ x[own].mean(axis=0)
+        typical[own] = x[own] @ np.average(x[own], axis=0, weights=weight[own]).astype(np.float32)
     ids = pdf["id"].to_numpy()
     return pd.DataFrame({
         "topic": pdf["topic"].to_numpy()[inside], "id": ids[inside], "node": np.array([f"{c}|{ids[k]}" for c, k in zip(pdf["cell"].to_numpy()[inside], label[inside])], object),
@@ -197,16 +211,48 @@ def _local(pdf: pd.DataFrame, near: float, least: int, dimension: int) -> pd.Dat
     })
 
 
+def _united(part: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Components after the links (i, j) are added: equal links between components are taken once, the smallest row names each."""
+    while len(i):
+        a, b = part[i], part[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        if not len(i):
+            break
+        to = np.arange(len(part))
+        np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+        while (to[to] != to).any():
+            to = to[to]
+        part = to[part]
+    return part
+
+
 def clusters(feeds: DataFrame, topics: DataFrame | None = None, near: float = NEAR, least: int = 2, id_col: str = "id", topic: str = "flashpoint_id", embedding: str = "embedding", topic_id: str = "id", dimension: int = DIMENSION) -> DataFrame:
     """(topic, id, cluster, typical): density clusters of the usable vectors of each topic; single vectors are left out.
 
+    Equal vectors of a topic are clustered once, with their number as weight, and added back by id at the end.
     ``cluster`` is the smallest id among its core vectors, ``typical`` the mean similarity to its neighbours in
     the cell. Null topics and, with ``topics``, topics not in that table are left out; repeated ids count once.
     """
     f = feeds.select(F.col(id_col).cast("string").alias("id"), F.col(topic).alias("topic"), F.col(embedding).alias("embedding")).where("topic is not null and id is not null")
     if topics is not None:
         f = f.join(topics.select(F.col(topic_id).alias("topic")).distinct(), "topic", "left_semi")
-    v = shared(usable(f, "topic", "id", dimension=dimension).dropDuplicates(["id"])).select("topic", F.col("topic").alias("cell"), "id", "v")
+    v = shared(usable(f, "topic", "id", dimension=dimension).dropDuplicates(["id"]))
+    keyed = v.select("topic", "id", F.md5("v").alias("h"))
+    copies = shared(keyed.groupBy("topic", "h").agg(F.min("id").alias("rep"), F.count("*").alias("weight")).where("weight > 1"))
+    n_copies = copies.count()
+    hint = F.broadcast if n_copies <= BROADCAST_COPIES else (lambda x: x)
+    if n_copies:
+        # beyond the broadcast only (id, digest) rows are joined by digest, never the vectors of a large group
+        members = keyed.join(hint(copies), ["topic", "h"]).select("topic", "h", "id", "rep", "weight")
+        if n_copies <= BROADCAST_COPIES:
+            v = v.withColumn("h", F.md5("v")).join(hint(copies), ["topic", "h"], "left")
+        else:
+            v = v.join(members.select("id", "rep", "weight"), "id", "left")
+        v = v.where("rep is null or rep = id").withColumn("weight", F.coalesce("weight", F.lit(1)))
+    else:
+        v = v.withColumn("weight", F.lit(1))
+    v = v.select("topic", F.col("topic").alias("cell"), "id", "v", F.col("weight").cast("long").alias("weight"))
     cells = _partition(v, dimension)
     schema = "topic string, id string, node string, label string, core boolean, typical float"
     rows = shared(cells.groupBy("cell").applyInPandas(lambda pdf: _local(pdf, near, least, dimension), schema))
@@ -219,7 +265,14 @@ def clusters(feeds: DataFrame, topics: DataFrame | None = None, near: float = NE
         rows = nxt.select("topic", "id", "node", F.col("new").alias("label"), "core", "typical")
         if not moved:
             break
-    return rows.groupBy("topic", "id").agg(F.min("label").alias("cluster"), F.max("typical").alias("typical"))
+    found = rows.groupBy("topic", "id").agg(F.min("label").alias("cluster"), F.max("typical").alias("typical"))
+    if not n_copies:
+        return found
+    found = shared(found)
+    marks = copies.select("h", F.col("rep").alias("id"))
+    many = found.join(hint(marks), "id").select("topic", "h", "cluster", "typical")
+    many = members.select("topic", "h", "id").join(hint(many), ["topic", "h"]).select("topic", "id", "cluster", "typical")
+    return found.join(hint(marks), "id", "left_anti").select("topic", "id", "cluster", "typical").unionByName(many)
 
 
 def cluster_pairs(found: DataFrame) -> DataFrame:

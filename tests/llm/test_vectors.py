@@ -121,3 +121,37 @@ def test_copies_beyond_a_window_link_to_the_smallest_ids(spark, broadcast, monke
     got = {r.id: [n.id for n in r.neighbours] for r in V.nearest(f.unionByName(f.limit(9)), 5, landmarks=200, span=128, block=64).collect()}
     want = exact(x, ids, 5)
     assert got == want
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_copies_reach_a_cell_once(spark, broadcast, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr(V, "BROADCAST_COPIES", 0, raising=False)
+    monkeypatch.setattr(V, "CELL", 30)
+    sizes, partition = [], V._partition
+
+    def counted(v, dimension):
+        cells = partition(v, dimension)
+        sizes.append(cells.count())
+        return cells
+
+    monkeypatch.setattr(V, "_partition", counted)
+    x = np.concatenate([np.repeat(blobs(1, 1, 9), 400, 0), blobs(1, 1, 9) + 0.001, np.repeat(blobs(1, 1, 10), 3, 0), blobs(5, 1, 11)])
+    ids = [f"i{k:04d}" for k in np.random.default_rng(1).permutation(len(x))]
+    found = V.clusters(rows(spark, x, ids))
+    got = {(r.id_a, r.id_b) for r in V.cluster_pairs(found).collect()}
+    assert got == {tuple(sorted((ids[i], ids[j]))) for i, j in brute(x, V.NEAR)}
+    assert sizes[0] <= 8
+
+
+def test_a_step_that_does_not_help_is_undone(spark, monkeypatch):
+    monkeypatch.setattr(V, "CELL", 30)
+    monkeypatch.setattr(V, "HELD_LINKS", 100, raising=False)
+    x = np.repeat(blobs(1, 1, 3), 200, 0)
+    x[:, 0] += np.arange(200) * 1e-3  # distinct, but the same cell for all reduced to half precision
+    v = V.usable(rows(spark, x).drop("v"), "id").selectExpr("'t' as topic", "'t' as cell", "id", "v", "1L as weight")
+    monkeypatch.setattr(V, "directions", lambda d, size, seed: np.ones((d, 1), np.float32))
+    assert V._partition(v, DIM).count() == 200
+    monkeypatch.undo()
+    monkeypatch.setattr(V, "HELD_LINKS", 100, raising=False)
+    assert V.cluster_records(V.clusters(rows(spark, x))).collect()[0].article_count == 200
