@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared
+
 
 class Clusterer(Protocol):
     """Labels for the rows of a matrix; -1 is noise."""
@@ -70,11 +72,21 @@ def density(x: np.ndarray, least: int = 5, epsilon: float = 0.05) -> np.ndarray:
     n = len(x)
     if n < 2 * least:
         return np.full(n, -1, np.int64)
+    x = unit_rows(x)
+    core = np.array([np.partition(np.sqrt(np.maximum(2 - 2 * (x @ x[i]), 0)), least - 1)[least - 1] for i in range(n)])
+    return condensed(n, spanning_edges(x, core), least, epsilon)
+
+
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows over their lengths; zero rows stay."""
     norm = np.linalg.norm(x, axis=1, keepdims=True)
-    x = np.divide(x, norm, out=np.zeros_like(x, dtype=np.float64), where=norm > 0)
+    return np.divide(x, norm, out=np.zeros_like(x, dtype=np.float64), where=norm > 0)
+
+
+def spanning_edges(x: np.ndarray, core: np.ndarray) -> list[tuple[float, int, int]]:
+    """Minimum spanning tree of the mutual reachability of unit rows by Prim's method: (distance, row, row)."""
+    n = len(x)
     dist = lambda i: np.sqrt(np.maximum(2 - 2 * (x @ x[i]), 0))
-    core = np.array([np.partition(dist(i), least - 1)[least - 1] for i in range(n)])
-    # minimum spanning tree
     left = np.ones(n, bool)
     left[0] = False
     best, via = np.full(n, np.inf), np.zeros(n, np.int64)
@@ -86,7 +98,12 @@ def density(x: np.ndarray, least: int = 5, epsilon: float = 0.05) -> np.ndarray:
         at = int(np.where(left, best, np.inf).argmin())
         edges.append((best[at], int(via[at]), at))
         left[at] = False
-    edges.sort()
+    return edges
+
+
+def condensed(n: int, edges: list[tuple[float, int, int]], least: int, epsilon: float) -> np.ndarray:
+    """Labels of ``n`` rows from edges that hold their minimum spanning tree; edges within a component are passed over."""
+    edges = sorted(edges)
     # single linkage: node -> (left, right, distance, size)
     parent = list(range(2 * n - 1))
     tree: dict[int, tuple[int, int, float, int]] = {}
@@ -98,9 +115,12 @@ def density(x: np.ndarray, least: int = 5, epsilon: float = 0.05) -> np.ndarray:
             i = parent[i]
         return i
 
-    for step, (d, a, b) in enumerate(edges):
+    node = n - 1
+    for d, a, b in edges:
         a, b = root(a), root(b)
-        node = n + step
+        if a == b:
+            continue
+        node += 1
         parent[a] = parent[b] = node
         size[node] = size[a] + size[b]
         tree[node] = (a, b, float(d), size[node])
@@ -154,21 +174,83 @@ def density(x: np.ndarray, least: int = 5, epsilon: float = 0.05) -> np.ndarray:
     return renumber(label)
 
 
-def choose(x: np.ndarray, small: int = 50) -> np.ndarray:
-    """k-means below ``small`` rows, density clustering from there on; k-means with the fallback k where no cluster of two came out."""
-    n = len(x)
-    label = kmeans(x, auto_k(n)) if n < small else density(x)
+def settled(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The labels, or those of k-means with the fallback k where no cluster of two came out."""
     kept = label[label >= 0]
     if not len(kept) or np.bincount(kept).max() < 2:
-        label = kmeans(x, fallback_k(n))
+        label = kmeans(x, fallback_k(len(x)))
     return label
 
 
+def choose(x: np.ndarray, small: int = 50) -> np.ndarray:
+    """k-means below ``small`` rows, density clustering from there on; k-means with the fallback k where no cluster of two came out."""
+    n = len(x)
+    return settled(x, kmeans(x, auto_k(n)) if n < small else density(x))
+
+
+#: Vectors of a topic up to which its density clustering is one task, and vectors of a block of a larger topic.
+WHOLE, BLOCK = 4000, 2000
+
+
+def _density_labels(vectors: DataFrame, sizes: DataFrame, topic: str, key: str, embedding: str, least: int = 5, epsilon: float = 0.05) -> DataFrame:
+    """(topic, key, label) by ``density`` with the distances of each topic spread over tasks; the labels are the same.
+
+    A topic's rows are numbered by key and cut into blocks, and every pair of blocks is a task. Core distances are
+    the ``least`` smallest of each row's over all its pairs. The minimum spanning tree of a topic lies within
+    the union of the trees of its pairs, so only those edges, (rows x blocks), reach the task that condenses it.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in vectors.schema}
+    numbered = vectors.select(topic, key).join(F.broadcast(sizes), topic).withColumn("row", F.row_number().over(Window.partitionBy(topic).orderBy(key)) - 1)
+    rows = shared(vectors.select(topic, key, embedding).join(numbered, [topic, key]).select(topic, "row", embedding, (F.col("row") / BLOCK).cast("int").alias("block"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    numbered = shared(numbered.select(topic, key, "row"))
+
+    def paired(r: DataFrame) -> DataFrame:
+        """Each row once for every pair of blocks its own is part of; a topic of one block is a pair of itself."""
+        other = F.explode(F.when(F.col("blocks") > 1, F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("block"))).otherwise(F.array("block")))
+        return r.withColumn("other", other).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+
+    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = unit_rows(np.stack(pdf[embedding].to_numpy()).astype(np.float64))
+        near = [np.partition(d, least - 1)[:least] if len(d) > least else d for d in _distances(x, pdf["block"].to_numpy(), int(pdf["lo"].iloc[0]))]
+        return pd.DataFrame({topic: pdf[topic], "row": pdf["row"], "near": near})
+
+    found = paired(rows).groupBy(topic, "lo", "hi").applyInPandas(nearest, f"{topic} {kinds[topic]}, row int, near array<double>")
+    core = found.groupBy(topic, "row").agg(F.element_at(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, least), -1).alias("core"))
+    rows = rows.join(shared(core), [topic, "row"])
+
+    def tree(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row", kind="stable")
+        at = pdf["row"].to_numpy()
+        e = spanning_edges(unit_rows(np.stack(pdf[embedding].to_numpy()).astype(np.float64)), pdf["core"].to_numpy())
+        return pd.DataFrame({topic: pdf[topic].iloc[0], "d": [d for d, _, _ in e], "a": [at[a] for _, a, _ in e], "b": [at[b] for _, _, b in e]})
+
+    edges = paired(rows).groupBy(topic, "lo", "hi").applyInPandas(tree, f"{topic} {kinds[topic]}, d double, a int, b int")
+
+    def condense(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = int(max(pdf["a"].max(), pdf["b"].max())) + 1
+        label = condensed(n, list(zip(pdf["d"].tolist(), pdf["a"].tolist(), pdf["b"].tolist())), least, epsilon)
+        return pd.DataFrame({topic: [pdf[topic].iloc[0]] * n, "row": np.arange(n), "label": label.astype(np.int32)})
+
+    labels = edges.groupBy(topic).applyInPandas(condense, f"{topic} {kinds[topic]}, row int, label int")
+    return numbered.join(labels, [topic, "row"]).select(topic, key, "label")
+
+
+def _distances(x: np.ndarray, block: np.ndarray, lo: int) -> Iterator[np.ndarray]:
+    """For each row its distances to the rows of the other block, and for one pair of each block those to its own as well.
+
+    A block meets itself in its pair with block 0, block 0 in its pair with block 1.
+    """
+    hi = int(block.max())
+    seen = {b: x if (b == 0 and hi <= 1 or b > 0 and lo == 0) else x[block != b] for b in {lo, hi}}
+    for b, row in zip(block.tolist(), x):
+        yield np.sqrt(np.maximum(2 - 2 * (seen[b] @ row), 0))
+
+
 def label_topics(vectors: DataFrame, clusterer: Callable[[np.ndarray], np.ndarray] = choose, topic: str = "topic", key: str = "id", embedding: str = "embedding") -> DataFrame:
     """(topic, key, label) of the vectors of each topic, ordered by key before clustering so the result is the same in any partitioning.
 
-    One topic is one task; topics are expected to hold thousands of vectors at most. Larger topics go through
-    the partitioned density clustering of the training-data operators.
+    One topic is one task. Above WHOLE vectors density clustering, of ``density`` or ``choose``, is spread over
+    tasks by pairs of blocks; k-means is linear in the topic and stays one task. Keys are unique in a topic.
     """
     kinds = {f.name: f.dataType.simpleString() for f in vectors.schema}
 
@@ -177,7 +259,25 @@ def label_topics(vectors: DataFrame, clusterer: Callable[[np.ndarray], np.ndarra
         x = np.stack(pdf[embedding].to_numpy()).astype(np.float64)
         return pd.DataFrame({topic: pdf[topic], key: pdf[key], "label": clusterer(x).astype(np.int32)})
 
-    return vectors.select(topic, key, embedding).groupBy(topic).applyInPandas(run, f"{topic} {kinds[topic]}, {key} {kinds[key]}, label int")
+    schema = f"{topic} {kinds[topic]}, {key} {kinds[key]}, label int"
+    vectors = vectors.select(topic, key, embedding)
+    if clusterer is not density and clusterer is not choose:
+        return vectors.groupBy(topic).applyInPandas(run, schema)
+    # few topics can be so large, so their names are broadcast
+    sizes = shared(vectors.where(F.col(topic).isNotNull()).groupBy(topic).agg(F.count("*").alias("n")).where(F.col("n") > WHOLE))
+    if sizes.isEmpty():
+        return vectors.groupBy(topic).applyInPandas(run, schema)
+    vectors = shared(vectors)  # read by several plans below
+    large = F.broadcast(sizes.select(topic))
+    small = vectors.join(large, topic, "left_anti").groupBy(topic).applyInPandas(run, schema)
+    labels = _density_labels(vectors.join(large, topic, "left_semi"), sizes, topic, key, embedding)
+    if clusterer is choose:
+        labels = shared(labels)
+        good = labels.where("label >= 0").groupBy(topic, "label").count().where("count > 1").select(topic).distinct()
+        rest = vectors.join(large, topic, "left_semi").join(good, topic, "left_anti")
+        fallback = label_topics(rest, lambda x: kmeans(x, fallback_k(len(x))), topic, key, embedding)
+        labels = labels.join(good, topic, "left_semi").unionByName(fallback)
+    return small.unionByName(labels)
 
 
 def unit(v: Column) -> Column:

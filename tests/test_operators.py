@@ -158,3 +158,22 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     q = W.tumbling(s, late="1 day").writeStream.format("memory").queryName("t").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("t").count() == W.tumbling(e).count()
+
+
+@pytest.mark.parametrize("block", [40, 60, 500])
+def test_density_of_a_large_topic_is_spread_and_the_same(spark, block, monkeypatch):
+    rng = np.random.default_rng(3)
+    c = rng.standard_normal((5, 16))
+    x = np.concatenate([np.repeat(c, 30, 0) + 0.1 * rng.standard_normal((150, 16)), rng.standard_normal((25, 16)), np.repeat(c[:1], 6, 0)])[rng.permutation(181)]
+    data = [("big", f"i{k:03d}", v.tolist()) for k, v in enumerate(x)] + [("small", f"s{k:03d}", v.tolist()) for k, v in enumerate(x[:60])]
+    v = spark.createDataFrame(data, "topic string, id string, embedding array<double>")
+    monkeypatch.setattr(C, "WHOLE", 100, raising=False)
+    monkeypatch.setattr(C, "BLOCK", block, raising=False)
+    largest = []
+    alone = C._density_labels
+    monkeypatch.setattr(C, "_density_labels", lambda *a: largest.append(1) or alone(*a))
+    for clusterer in (C.density, C.choose):
+        got = {(r.topic, r.id): r.label for r in C.label_topics(v, clusterer).collect()}
+        for topic, rows in (("big", x), ("small", x[:60])):
+            assert [got[topic, f"{topic[0] if topic == 'small' else 'i'}{k:03d}"] for k in range(len(rows))] == clusterer(rows).tolist()
+    assert len(largest) == 2
