@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from functools import cache
+from functools import cache, lru_cache
 
 import ahocorasick
 
@@ -36,8 +36,8 @@ PLACEHOLDER = re.compile(
     r"|<%=?[^%\n]{1,60}%>"
     r"|%%[A-Za-z][\w.]{0,40}%%"
     r"|@@[A-Za-z][\w.]{0,40}@@"
-    r"|\b__[A-Za-z](?:\w{0,38}[A-Za-z])?__\b"
-    r"|\[\[[A-Za-z][\w. ]{0,40}\]\]"
+    r"|\b__[A-Z](?:[A-Z0-9_]{0,38}[A-Z])?__\b|^\s*__[a-z](?:\w{0,38}[a-z])?__\s*$"  # a lower-case one inside a sentence is a name of code
+    r"|\[\[(?:[a-z][a-z_.]{0,40}|[A-Z][A-Z_.]{1,40})\]\]"  # with blanks, digits or one capital it is a link or a citation
     r"|\[[A-Z]+(?:_[A-Z]+)+\]|\[(?:HEADLINE|BODY|SECTION|TEASER|TITLE|AUTHOR|DATE|IMAGE)\]"
     r"|&lt;\s?/?[A-Za-z][\w.]{1,40}\s?&gt;"
     r"|<!--\s*[\w.]{2,40}\s*-->"
@@ -86,8 +86,30 @@ def bylines() -> tuple[str, ...]:
     return tuple(lexicon.BYLINE.values())
 
 
-#: Characters from which a line without a cue is a paragraph at once.
-LONG = 600
+#: Share of a line's characters in cue sentences from which the line is furniture; below it the cue is mentioned in passing.
+CUE_SHARE = 0.2
+_SENTENCE = re.compile(r"[^.!?。！？…]+(?:[.!?。！？…]+['\"”’»“)\]」』]*\s*)?")
+#: Words by which a page speaks to its reader, outside quotation marks; none that also means a third person.
+_ADDRESS = re.compile(
+    r"\b(?:you|your|yours|our|ours|we|us|vous|votre|vos|nous|notre|nos|usted|ustedes|nuestr[oa]s?|tus?|wir|uns|unser(?:e[nmrs]?)?|ihnen|voi|vostr[oaie]|nostr[oaie]|tuo|tua|você|vocês|noss[oa]s?|вы|вас|вам|ваш\w*|наш\w*|мы|нас)\b|您|我们|你"
+)
+
+
+def addresses(line: str) -> bool:
+    """Whether a lower-case line speaks to the reader outside quotation marks."""
+    return bool(_ADDRESS.search(line) and _ADDRESS.search(_QUOTED.sub(" ", line)))
+
+
+def cue_share(line: str, spans: list[tuple[int, int]]) -> float:
+    """Share of a line's characters in sentences that a cue touches or that speak to the reader; an unended rest goes with the sentence before."""
+    at = cued = 0
+    last = False
+    for m in _SENTENCE.finditer(line):
+        a, b = m.span()
+        last = any(s < b and e > a for s, e in spans) or addresses(m.group(0)) or (last and b == len(line) and not _END.search(line[-16:]))
+        cued += (b - a) * last
+        at += b - a
+    return cued / at if at else 1.0
 
 
 class Page:
@@ -110,29 +132,33 @@ class Page:
             at += len(b) + 1
         joined = "\n" + "\n".join(bodies) + "\n"
         hits: dict[int, int] = {}
+        spans: dict[int, list[tuple[int, int]]] = {}
         residue = self.residue
         for end, (kind, size, anchored) in automaton().iter(joined):
             i = bisect_right(starts, end - size + 1 + anchored) - 1
             if kind == RESIDUE:
                 residue[i] = True
-            elif hits.get(i) != FURNITURE:
+                continue
+            if kind == FURNITURE:
+                spans.setdefault(i, []).append((end - size + 1 + anchored - starts[i], end + 1 - starts[i]))
+            if hits.get(i) != FURNITURE:
                 hits[i] = kind
         wanted = _plain(title) if title else ""
         for i, (x, b) in enumerate(zip(self.low, bodies)):
             if x:
-                self.kind[i] = self._kind(x, b, hits.get(i), wanted, outlet, self.raw[i])
+                self.kind[i] = self._kind(x, b, hits.get(i), spans.get(i, []), wanted, outlet)
 
     @staticmethod
-    def _kind(x: str, b: str, hit: int | None, title: str, outlet: str, raw: str) -> int:
+    def _kind(x: str, b: str, hit: int | None, spans: list[tuple[int, int]], title: str, outlet: str) -> int:
         n, first = len(x), x[0]
-        if n > LONG and hit is None:
-            return PROSE
         if title and abs(n - len(title)) < 6 and _plain(x) == title:
             return TITLE if first not in "->[•*" and not _CLOCK.match(x) else TEASER
-        if hit == FURNITURE and n <= LONG:
+        if outlet and outlet[:4] in x and hit != LABEL:
+            spans = spans + [(m.start(), m.end()) for m in _outlet_pattern(outlet).finditer(b)]
+        if spans and cue_share(b, spans) >= CUE_SHARE:
             return FURNITURE
-        if outlet and n < LONG and outlet[:4] in x and outlet in x.replace(" ", "").replace("-", ""):
-            return FURNITURE if hit != LABEL else LABEL
+        if hit == FURNITURE:
+            hit = None
         if first == "#":
             return HEADING
         ended = bool(_END.search(x[-16:]))
@@ -140,7 +166,7 @@ class Page:
             return LABEL
         if n < 40 and b in menu_words():
             return MENU
-        if n < LONG and _SEPARATED.search(b):
+        if _SEPARATED.search(b):
             parts = _SEPARATOR.split(b)
             if len(parts) >= 3 and sum(p in menu_words() for p in parts) * 2 >= len(parts):
                 return MENU
@@ -156,6 +182,12 @@ class Page:
         return SHORT
 
 
+@lru_cache(4096)
+def _outlet_pattern(outlet: str) -> re.Pattern:
+    """The letters of an outlet's squeezed name with blanks and hyphens between them allowed."""
+    return re.compile("[ -]*".join(map(re.escape, outlet)))
+
+
 def _plain(s: str) -> str:
     return _DIGITS.sub("0", _SPACES.sub(" ", s.lower())).strip().lstrip("# ").strip()
 
@@ -175,6 +207,53 @@ def open_fields(line: str) -> list[str]:
     return [m.group(0) for m in PLACEHOLDER.finditer(_QUOTED.sub(" ", line))]
 
 
+#: Words of texts about templates; beside one of them a field is shown, not left unfilled.
+_TUTORIAL = re.compile(
+    r"\b(?:templates?|placeholders?|variables?|syntax|tutorial|jinja2?|handlebars|mustache|liquid|html|markup|vorlagen?|platzhalter|variablen|gabarits?|balises?|modèles?|plantillas?|marcador(?:es)?|modell[oi]|segnaposto|modelos?|шаблон\w*|переменн\w*)\b|模板|占位符|变量",
+    re.I,
+)
+_FENCE = re.compile(r"^\s{0,3}(?:```|~~~)")
+
+
+def code_lines(raw: list[str]) -> set[int]:
+    """Numbers from 0 of the lines of fenced code, and of code indented below a line that ends with a colon or below such code."""
+    found: set[int] = set()
+    fence, opener, above = "", 0, ""
+    for i, x in enumerate(raw):
+        if fence:
+            if x.strip().startswith(fence):
+                found.update(range(opener, i + 1))
+                fence = ""
+            continue
+        if _FENCE.match(x):
+            fence, opener = x.strip()[:3], i
+        elif x[:4] == "    " or x[:1] == "\t":
+            if above.endswith(":") or above == "code":
+                found.add(i)
+                above = "code"
+                continue
+        if x.strip():
+            above = x.strip()
+    return found  # a fence that is never closed opens nothing
+
+
+def is_tutorial(line: str) -> bool:
+    """Whether a line speaks of templates or their syntax, its fields left aside."""
+    return bool(_TUTORIAL.search(PLACEHOLDER.sub(" ", line)))
+
+
+_OF_PAGES = re.compile(r"\b(?:page|link|site|website|server|browser|url|seite|server|adresse|lien|navigateur|página|enlace|navegador|pagina|collegamento|ligação|страниц\w*|ссылк\w*|сервер\w*|браузер\w*)\b|页面|链接|服务器|浏览器")
+
+
+def speaks_of_the_page(line: str) -> bool:
+    """Whether a lower-case line tells the reader about the page, its link or its server."""
+    return len(line) < 160 and bool(_OF_PAGES.search(line)) and addresses(line)
+
+
+def may_have_field(line: str) -> bool:
+    return bool(_MAYBE_FIELD.search(line))
+
+
 def has_field(line: str) -> bool:
     return bool(_MAYBE_FIELD.search(line) and PLACEHOLDER.search(line))
 

@@ -18,8 +18,6 @@ from . import boilerplate, ecoc
 from .common import batch_of, bounded_sample, once_per_id
 from .pagemodel import BLANK, FURNITURE, HEADING, PROSE, TITLE, Page, headline_form, outlet_key
 
-#: A headline form counts as one of the corpus from this share of the titles on, so there are at most 5 000.
-FORM_SHARE = 1 / 5000
 #: Bounds of the labelled sample of the language classifiers: rows of feeds, and the longest text taken.
 SAMPLE_ROWS, SAMPLE_CHARS = 1200, 20_000
 MIN_LINE = 40
@@ -27,25 +25,11 @@ MIN_LINE = 40
 _TARGET = re.compile(r"\]\([^)\s]*\)")
 
 
-def headline_forms(feeds: DataFrame, title: str = "title") -> frozenset[str]:
-    """Forms of headlines that make up at least FORM_SHARE of all titles. Reads the title column only.
-
-    The names are masked in Spark's own functions; at most 1 / FORM_SHARE forms can reach the share, so what
-    comes to the driver is bounded whatever the corpus.
-    """
-    name = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][\p{L}\p{N}_’']*(?:[- ](?:[A-ZÀ-ÖØ-Þ][\p{L}\p{N}_’']*|on|Bay))*(?:-[A-ZÀ-Þ][\p{L}\p{N}_]*)?"
-    t = F.regexp_replace(F.regexp_replace(F.trim(F.col(title)), "[0-9]+", "0"), "[ \\t\\u00a0]+", " ")
-    form = F.when(t.rlike("[\\u3400-\\u9fff]"), F.regexp_replace(t, "[A-Za-z][A-Za-z' -]*", "X")).otherwise(F.regexp_replace(t, name, "X"))
-    counts = feeds.select(form.alias("form")).where("form is not null and form <> ''").groupBy("form").count()
-    total = feeds.where(F.col(title).isNotNull()).count()
-    return frozenset(r.form for r in counts.where(F.col("count") >= FORM_SHARE * total).collect())
-
-
-def _read(text: str | None, title: str | None, domain: str | None, forms: frozenset[str]) -> Page | None:
+def _read(text: str | None, title: str | None, domain: str | None) -> Page | None:
     if text is None or not text.strip():
         return None
     page = Page(text, title, outlet_key(domain))
-    boilerplate.settle_short(page, forms)
+    boilerplate.settle_short(page)
     return page
 
 
@@ -56,13 +40,11 @@ def main_body(feeds: DataFrame, id_col: str = "id", text: str = "raw_text", titl
     ``residue`` says which kind, its list is empty and its body null. Repeated ids count once; other columns
     of the input are ignored, so they cannot clash.
     """
-    forms = headline_forms(feeds, title)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[], [], [], []]
             for i, t, ti, d in zip(*(b.column(k).to_pylist() for k in range(4))):
-                page = _read(t, ti, d, forms)
+                page = _read(t, ti, d)
                 lines, body, why = [], None, None
                 if page is not None:
                     why = boilerplate.residue_verdict(page)
@@ -160,7 +142,7 @@ def fit_languages(feeds: DataFrame, names: dict[str, str], label: str = "languag
     return ecoc.fit(texts, labels, languages, agreed)
 
 
-def page_languages(feeds: DataFrame, model: ecoc.Model, names: dict[str, str], forms: frozenset[str] | None = None, id_col: str = "id", text: str = "raw_text", title: str = "title", domain: str = "domain", label: str = "language", min_line: int = MIN_LINE) -> DataFrame:
+def page_languages(feeds: DataFrame, model: ecoc.Model, names: dict[str, str], id_col: str = "id", text: str = "raw_text", title: str = "title", domain: str = "domain", label: str = "language", min_line: int = MIN_LINE) -> DataFrame:
     """One row for each id with an article or text: ``language`` (main code), ``confidence``, ``label_ok`` and ``segments``.
 
     ``segments``: for each line of at least ``min_line`` characters in another language than the main one
@@ -169,16 +151,15 @@ def page_languages(feeds: DataFrame, model: ecoc.Model, names: dict[str, str], f
     no row. Repeated ids count once.
     """
     spark = feeds.sparkSession
-    forms = headline_forms(feeds, title) if forms is None else forms
-    held = spark.sparkContext.broadcast((model, names, forms))
+    held = spark.sparkContext.broadcast((model, names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, names, forms = held.value
+        model, names = held.value
         seen: dict[str, tuple[int, float]] = {}
         for b in batches:
             cols = [b.column(k).to_pylist() for k in range(5)]
             for at in range(0, len(cols[0]), 256):
-                yield _languages_of(list(zip(*(c[at : at + 256] for c in cols))), model, names, forms, seen, min_line)
+                yield _languages_of(list(zip(*(c[at : at + 256] for c in cols))), model, names, seen, min_line)
 
     schema = "id string, language string, confidence float, label_ok boolean, segments array<struct<line_no:int,language:string,confidence:float,ambiguous:boolean>>"
     rows = feeds.select(F.col(id_col).cast("string").alias("id"), text, title, domain, label).mapInArrow(run, schema)
@@ -190,10 +171,10 @@ _SEGMENTS = pa.list_(pa.struct([("line_no", pa.int32()), ("language", pa.string(
 SEEN = 50_000
 
 
-def _languages_of(rows: list[tuple], model: ecoc.Model, names: dict[str, str], forms: frozenset[str], seen: dict, min_line: int) -> pa.RecordBatch:
+def _languages_of(rows: list[tuple], model: ecoc.Model, names: dict[str, str], seen: dict, min_line: int) -> pa.RecordBatch:
     pages, wanted = [], {}
     for i, t, ti, d, lab in rows:
-        page = _read(t, ti, d, forms)
+        page = _read(t, ti, d)
         if page is None or boilerplate.residue_verdict(page) is not None:
             continue
         keep = boilerplate.kept_lines(page)

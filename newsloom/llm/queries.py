@@ -111,9 +111,7 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
 
 def _truncated(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    model = truncation.fit(truncation.sample(docs))
-    model.forms = pages.headline_forms(docs)
-    return truncation.truncated(docs, model)
+    return truncation.truncated(docs, {"text": truncation.fit(truncation.sample(docs))})
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
