@@ -1,10 +1,11 @@
 """Exact byte-pair encoding with a public vocabulary by backtracking over longest matches (problem 8).
 
-A piece is encoded from left to right: the longest token that matches next (found in an Aho-Corasick trie) is
-taken if it is compatible with the token before it, that is if the pair would come out of the merge rules as
-these two tokens; otherwise its next shorter prefix token is tried, and when none is left the last token is
-given back. A bit per position marks dead ends, so the work is linear in the piece. Decoding reads a byte
-buffer through an offset table.
+One pass of an Aho-Corasick automaton over a piece gives the longest token that begins at each position. The
+piece is then encoded from left to right: that token is taken if it is compatible with the token before it,
+that is if the pair would come out of the merge rules as these two tokens; otherwise its next shorter prefix
+token is tried, and when none is left the last token is given back. Compatibility is held in a table of the
+pairs met so far, a bit per position marks dead ends, so the work is linear in the piece. Decoding reads a
+byte buffer through an offset table.
 
 Texts are cut where the public pattern always has a piece boundary, at each single blank between other
 characters; the units between are encoded once and remembered as packed ids.
@@ -26,6 +27,8 @@ DIRECTORY = "/opt/tokenizers"
 NAME = "byte_bpe_50k"
 #: Units a worker remembers; the store is emptied when full, so memory is bounded whatever the corpus.
 REMEMBERED = 200_000
+#: Pairs of tokens whose compatibility a worker holds; emptied when full.
+PAIRS = 1_000_000
 
 
 def _class(*categories: str) -> str:
@@ -93,6 +96,8 @@ class Vocabulary:
         self.trie = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for x in self.ids:
             self.trie.add_word(x)
+        self.trie.make_automaton()
+        self.table: dict[int, bool] = {}
         self.prefix: dict[int, int] = {}
         buffer = [x or "" for x in self.text]
         self.buffer = "".join(buffer).encode("latin-1")
@@ -112,7 +117,15 @@ class Vocabulary:
         return p
 
     def compatible(self, a: int, b: int) -> bool:
-        """Whether the merge rules leave ``a`` and ``b`` as two tokens when they follow each other."""
+        """Whether the merge rules leave ``a`` and ``b`` as two tokens when they follow each other, from the table."""
+        pair = a << 20 | b
+        if (known := self.table.get(pair)) is None:
+            if len(self.table) >= PAIRS:
+                self.table.clear()
+            known = self.table[pair] = self._compatible(a, b)
+        return known
+
+    def _compatible(self, a: int, b: int) -> bool:
         order, left, right, pairs = self.order, self.left, self.right, self.pairs
         limit = 1 << 60
         while True:
@@ -133,11 +146,15 @@ class Vocabulary:
         if (whole := self.ids.get(piece)) is not None:
             return [whole]
         n = len(piece)
-        longest, ids, text = self.trie.longest_prefix, self.ids, self.text
+        ids, text = self.ids, self.text
+        # matches come in the order of their ends, so the last one of a position is its longest; every byte is a token
+        longest = [1] * n
+        for end, size in self.trie.iter(piece):
+            longest[end - size + 1] = size
         open_ = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
         pos = 0
-        t = ids[piece[: self._match(piece, 0)]]
+        t = ids[piece[: longest[0]]]
         while pos < n:
             last = out[-1] if out else -1
             while True:
@@ -146,7 +163,7 @@ class Vocabulary:
                     out.append(t)
                     pos = end
                     if pos < n:
-                        t = ids[piece[pos : pos + self._match(piece, pos)]]
+                        t = ids[piece[pos : pos + longest[pos]]]
                     break
                 t = self._shorter(t)
                 if t < 0:
@@ -162,13 +179,6 @@ class Vocabulary:
                     last = out[-1] if out else -1
         return out
 
-    def _match(self, piece: str, pos: int) -> int:
-        """Length of the longest token at a position; every byte is a token, so at least 1."""
-        k = self.trie.longest_prefix(piece[pos : pos + 128])
-        while piece[pos : pos + k] not in self.ids:
-            k -= 1
-        return k
-
     def decode(self, ids: list[int]) -> str:
         o, b = self.offsets, self.buffer
         return b"".join(b[o[i] : o[i + 1]] for i in ids).decode("utf-8", "replace")

@@ -1,9 +1,11 @@
 """Lines repeated across the pages of one site (problem 7).
 
 Pages of equal text are collapsed first; each line is then counted over the distinct clusters of equal pages
-of its domain, with the pages and the days they stand for, so a republished article is one witness however
-often it comes. Counting is on (domain, line hash): a hot domain spreads over its lines, and partial sums run
-before the shuffle.
+of its domain and over their days, so a republished article is one witness however often it comes. Counting
+is on (domain, line hash): a hot domain spreads over its lines, and partial sums run before the shuffle.
+
+Two rules read the counts. ``repeated`` takes the lines of many clusters and more than one day and is what
+texts are cleaned by. ``standing`` takes the lines of many pages, copies included, whatever their clusters.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from .common import shared
 
 #: A line is repeated if it stands in at least so many pages, and in this share of the pages of its domain.
 LEAST_PAGES, LEAST_SHARE = 4, 0.05
+#: For cleaning it must stand in so many clusters of equal pages, that share of the clusters, and on so many days.
+LEAST_CLUSTERS, LEAST_DAYS = 4, 2
 #: Rows up to which the found lines are broadcast; beyond, a shuffle join takes over.
 BROADCAST_ROWS = 200_000
 
@@ -51,21 +55,35 @@ def pages(feeds: DataFrame, id_col: str = "id", text: str = "raw_text", domain:
     return shared(rows.dropDuplicates(["id"]))
 
 
-def repeated(keyed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(domain, key, n_pages, n_clusters, n_days) of the lines repeated excessively in a domain.
+def counted(keyed: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
+    """(domain, key, n_pages, n_clusters, n_days, pages, clusters, days) of the lines of at least ``least`` pages; the last three are those of the whole domain.
 
-    Equal pages of a domain are one cluster: its lines are counted once, weighted with its pages in
-    ``n_pages`` and as one in ``n_clusters``. ``n_days`` counts the clusters' first days modulo 63, a lower
-    bound that needs no second shuffle. At most (lines of a page) / least_share lines of a domain can be found.
+    Equal pages of a domain are one cluster: its lines are counted once, on the cluster's first day, weighted
+    with its pages in ``n_pages`` and as one in ``n_clusters``. Days are counted exactly; clusters without a
+    day count for no day.
     """
     clusters = keyed.groupBy("domain", "page").agg(F.count("*").alias("w"), F.min("day").alias("day"), F.min("keys").alias("keys"))
-    totals = keyed.groupBy("domain").agg(F.count("*").alias("total"))
-    bit = F.expr("shiftleft(1L, cast(pmod(datediff(day, date'1970-01-01'), 63) as int))")
-    lines = clusters.select("domain", "w", bit.alias("bit"), F.explode(F.array_distinct(F.filter("keys", lambda x: x.isNotNull()))).alias("key"))
-    counts = lines.groupBy("domain", "key").agg(
-        F.sum("w").alias("n_pages"), F.count("*").alias("n_clusters"), F.bit_count(F.bit_or("bit")).cast("int").alias("n_days"),
-    ).where(F.col("n_pages") >= least_pages)
-    return counts.join(totals, "domain").where(F.col("n_pages") >= least_share * F.col("total")).drop("total")
+    lines = clusters.select("domain", "w", "day", F.explode(F.array_distinct(F.filter("keys", lambda x: x.isNotNull()))).alias("key"))
+    sums = lambda *keys: (F.sum("w").alias("w"), F.sum("c").alias("c"), F.count("day").alias("d"))
+    daily = lines.groupBy("domain", "key", "day").agg(F.sum("w").alias("w"), F.count("*").alias("c"))
+    found = daily.groupBy("domain", "key").agg(*sums()).where(F.col("w") >= least).select("domain", "key", F.col("w").alias("n_pages"), F.col("c").alias("n_clusters"), F.col("d").alias("n_days"))
+    of_days = clusters.groupBy("domain", "day").agg(F.sum("w").alias("w"), F.count("*").alias("c"))
+    totals = of_days.groupBy("domain").agg(*sums()).select("domain", F.col("w").alias("pages"), F.col("c").alias("clusters"), F.col("d").alias("days"))
+    return found.join(totals, "domain")
+
+
+def repeated(counts: DataFrame, least_clusters: int = LEAST_CLUSTERS, least_share: float = LEAST_SHARE, least_days: int = LEAST_DAYS) -> DataFrame:
+    """The counted lines repeated excessively in a domain: in enough of its clusters of equal pages and on enough days.
+
+    A domain known on fewer days than that is judged by its clusters alone. At most (lines of a page) /
+    least_share lines of a domain can be found.
+    """
+    return counts.where((F.col("n_clusters") >= least_clusters) & (F.col("n_clusters") >= least_share * F.col("clusters")) & (F.col("n_days") >= F.least(F.lit(least_days), F.col("days"))))
+
+
+def standing(counts: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+    """The counted lines that stand in enough pages of a domain, copies of a page included."""
+    return counts.where((F.col("n_pages") >= least_pages) & (F.col("n_pages") >= least_share * F.col("pages")))
 
 
 def marked(keyed: DataFrame, found: DataFrame) -> DataFrame:
@@ -74,7 +92,7 @@ def marked(keyed: DataFrame, found: DataFrame) -> DataFrame:
     The found lines are broadcast while they are at most BROADCAST_ROWS rows; beyond, the join shuffles both
     sides on (domain, key).
     """
-    found = shared(found)
+    found = shared(found.select("domain", "key", "n_pages", "n_clusters", "n_days"))
     small = found.count() <= BROADCAST_ROWS
     lines = keyed.select("id", "domain", F.posexplode("keys").alias("pos", "key")).where(F.col("key").isNotNull())
     return lines.join(F.broadcast(found) if small else found, ["domain", "key"]).select(

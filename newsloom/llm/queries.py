@@ -33,17 +33,17 @@ def p2_languages(spark: SparkSession, d: str) -> DataFrame:
     return _languages(spark, d).select("id", "language", F.round("confidence", 4).alias("confidence"), "label_ok", F.size("segments").alias("n_segments"))
 
 
-def _cut(spark: SparkSession, d: str) -> DataFrame:
+def _cut(spark: SparkSession, d: str, texts: bool) -> DataFrame:
     lim = limits(spark, d)
-    return split.split_texts(table(spark, d, "feeds"), lim["piece_max_chars"], lim["piece_overlap_chars"])
+    return split.split_texts(table(spark, d, "feeds"), lim["piece_max_chars"], lim["piece_overlap_chars"], texts=texts)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return split.oversized(_cut(spark, d))
+    return split.oversized(_cut(spark, d, False))
 
 
 def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
-    return _cut(spark, d).select("id", F.explode("pieces").alias("p")).select("id", "p.piece_no", "p.start_pos", "p.end_pos", "p.cut", "p.text")
+    return _cut(spark, d, True).select("id", F.explode("pieces").alias("p")).select("id", "p.piece_no", "p.start_pos", "p.end_pos", "p.cut", "p.text")
 
 
 def _clusters(spark: SparkSession, d: str) -> DataFrame:
@@ -55,7 +55,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_clusters(spark: SparkSession, d: str) -> DataFrame:
-    return vectors.cluster_records(shared(_clusters(spark, d))).withColumnRenamed("topic", "flashpoint_id")
+    return vectors.cluster_records(shared(_clusters(spark, d)), table(spark, d, "feeds")).withColumnRenamed("topic", "flashpoint_id")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -80,17 +80,18 @@ def p6_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return n.select("id", (F.col("pos") + 1).alias("rank"), F.col("n.id").alias("neighbour"), F.round("n.similarity", 4).alias("similarity"))
 
 
-def _marks(spark: SparkSession, d: str) -> DataFrame:
-    keyed = lines.pages(table(spark, d, "feeds"))
-    return lines.marked(keyed, lines.repeated(keyed))
+def p6_recall(spark: SparkSession, d: str) -> DataFrame:
+    return vectors.recall(shared(_neighbours(spark, d)), table(spark, d, "feeds"), limits(spark, d)["neighbours_k"])
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return _marks(spark, d).select("id", "line_no")
+    keyed = lines.pages(table(spark, d, "feeds"))
+    return lines.marked(keyed, lines.standing(lines.counted(keyed))).select("id", "line_no")
 
 
 def p7_clean(spark: SparkSession, d: str) -> DataFrame:
-    return lines.cleaned(table(spark, d, "feeds"), _marks(spark, d))
+    keyed = lines.pages(table(spark, d, "feeds"))
+    return lines.cleaned(table(spark, d, "feeds"), lines.marked(keyed, lines.repeated(lines.counted(keyed))))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -127,7 +128,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             p1_found, p1_article, p2_found, p2_languages, p3_found, p3_pieces, p4_found, p4_clusters, p5_found, p5_kept,
-            p6_found, p6_neighbours, p7_found, p7_clean, p8_ids, p9_found, p9_containers, p10_found, p10_sources,
+            p6_found, p6_neighbours, p6_recall, p7_found, p7_clean, p8_ids, p9_found, p9_containers, p10_found, p10_sources,
         )
     }
 

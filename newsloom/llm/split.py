@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import once_per_id
+
 #: A piece is at least this share of the limit, unless it is the last.
 SHORTEST = 0.5
 #: Positions over which one sparse table is built; longer texts take several.
@@ -119,11 +121,12 @@ def long_lines(text: str, limit: int) -> list[int]:
     return [n for n, x in enumerate(text.split("\n"), 1) if len(x) > limit and len(x.removesuffix("\r")) > limit]
 
 
-def split_texts(feeds: DataFrame, limit: int, overlap: int, id_col: str = "id", text: str = "raw_text") -> DataFrame:
+def split_texts(feeds: DataFrame, limit: int, overlap: int, id_col: str = "id", text: str = "raw_text", texts: bool = True) -> DataFrame:
     """(id, pieces, long_lines) of each distinct id whose text has more than ``limit`` characters.
 
     ``pieces``: ordered (piece_no, start_pos, end_pos, cut, text). Null, empty and fitting texts give no row.
-    The length test is Spark's own, so fitting texts never reach Python; repeated ids count once.
+    The length test is Spark's own, so fitting texts never reach Python; repeated ids count once. With ``texts``
+    false the pieces carry positions only and the texts stay in the scan: only ids and positions are shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +136,7 @@ def split_texts(feeds: DataFrame, limit: int, overlap: int, id_col: str = "id",
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids.append(i)
                 pieces.append([
-                    {"piece_no": k, "start_pos": s, "end_pos": e, "cut": NAMES[c], "text": t[s:e]}
+                    {"piece_no": k, "start_pos": s, "end_pos": e, "cut": NAMES[c], "text": t[s:e] if texts else None}
                     for k, (s, e, c) in enumerate(pieces_of(t, limit, overlap), 1)
                 ])
                 lines.append(long_lines(t, limit))
@@ -141,7 +144,7 @@ def split_texts(feeds: DataFrame, limit: int, overlap: int, id_col: str = "id",
 
     schema = "id string, pieces array<struct<piece_no:int,start_pos:int,end_pos:int,cut:string,text:string>>, long_lines array<int>"
     long = feeds.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text")).where(F.length("text") > limit)
-    return long.dropDuplicates(["id"]).mapInArrow(run, schema)
+    return long.dropDuplicates(["id"]).mapInArrow(run, schema) if texts else once_per_id(long.mapInArrow(run, schema), "id", "pieces", "long_lines")
 
 
 def oversized(cut: DataFrame) -> DataFrame:

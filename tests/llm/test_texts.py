@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 import re
 
@@ -46,6 +47,7 @@ def test_long_text_and_boundaries():
 def test_split_edges(spark):
     df = spark.createDataFrame([("a", "x" * 4001, 1), ("a", "x" * 4001, 1), ("b", None, 2), ("c", "", 3), ("d", "y" * 4000, 4), ("e", ("z" * 80 + "\n") * 60, 5)], "id string, raw_text string, pieces int")
     assert sorted((r.id, r.line_no) for r in S.oversized(S.split_texts(df, 4000, 200)).collect()) == [("a", 0), ("a", 1), ("e", 0)]
+    assert sorted((r.id, r.line_no) for r in S.oversized(S.split_texts(df, 4000, 200, texts=False)).collect()) == [("a", 0), ("a", 1), ("e", 0)]
     assert S.split_texts(df.limit(0), 4000, 200).count() == 0
 
 
@@ -72,27 +74,46 @@ def test_repeated_lines_against_brute_force(spark):
             if re.search("[a-z]", k) and c >= 4 and c >= 0.05 * n:
                 want.add((i, no))
     keyed = L.pages(df)
-    marks = L.marked(keyed, L.repeated(keyed))
+    marks = L.marked(keyed, L.standing(L.counted(keyed)))
     assert {(r.id, r.line_no) for r in marks.collect()} == want and want
     clean = {r.id: (r.text, r.n_removed) for r in L.cleaned(df, marks).collect()}
     i, no = sorted(want)[0]
     assert clean["n1"] == (None, 0) and clean[i][1] == sum(a == i for a, _ in want)
     assert len(clean[i][0].split("\n") if clean[i][0] else []) <= 5 - clean[i][1] or clean[i][0] == ""
-    assert L.repeated(L.pages(df.limit(0))).count() == 0
+    assert L.counted(L.pages(df.limit(0))).count() == 0
 
 
 def test_shuffled_join_gives_the_same(spark, monkeypatch):
     df = spark.createDataFrame([(f"i{i}", "d.example", f"Share this\nline {'abcdef'[i]}", None) for i in range(6)], "id string, domain string, raw_text string, created_at timestamp_ntz")
     keyed = L.pages(df)
-    a = {(r.id, r.line_no) for r in L.marked(keyed, L.repeated(keyed)).collect()}
+    a = {(r.id, r.line_no) for r in L.marked(keyed, L.standing(L.counted(keyed))).collect()}
     monkeypatch.setattr(L, "BROADCAST_ROWS", -1)
-    assert a == {(r.id, r.line_no) for r in L.marked(keyed, L.repeated(keyed)).collect()} == {(f"i{i}", 1) for i in range(6)}
-
-
-def test_copies_are_one_cluster(spark):
-    df = spark.createDataFrame([(f"i{i}", "d.example", "Same page\nall over", None) for i in range(5)], "id string, domain string, raw_text string, created_at timestamp_ntz")
-    r = L.repeated(L.pages(df)).collect()
-    assert {(x.n_pages, x.n_clusters) for x in r} == {(5, 1)}
+    assert a == {(r.id, r.line_no) for r in L.marked(keyed, L.standing(L.counted(keyed))).collect()} == {(f"i{i}", 1) for i in range(6)}
+
+
+def test_copies_are_one_witness(spark):
+    """A republished article is not boilerplate: its copies count as pages, but as one cluster on one day."""
+    schema = "id string, domain string, raw_text string, created_at timestamp_ntz"
+    day = lambda n: dt.datetime(2024, 1, 1 + n)
+    copies = [(f"i{i}", "d.example", "Same page\nall over\nShare this", day(i)) for i in range(5)]
+    others = [(f"o{i}", "d.example", f"Story {'abcdef'[i]}\nShare this", day(i)) for i in range(5)]
+    counts = L.counted(L.pages(spark.createDataFrame(copies + others, schema)))
+    got = {(r.n_pages, r.n_clusters, r.n_days): r for r in counts.collect()}
+    assert set(got) == {(5, 1, 1), (10, 6, 5)} and {(r.pages, r.clusters, r.days) for r in got.values()} == {(10, 6, 5)}
+    assert L.standing(counts).count() == 3 and [r.n_clusters for r in L.repeated(counts).collect()] == [6]
+    keyed = L.pages(spark.createDataFrame(copies + others, schema))
+    clean = {r.id: r.text for r in L.cleaned(spark.createDataFrame(copies + others, schema), L.marked(keyed, L.repeated(L.counted(keyed)))).collect()}
+    assert clean["i3"] == "Same page\nall over" and clean["o1"] == "Story b"
+
+
+def test_lines_of_one_day_and_without_days(spark):
+    schema = "id string, domain string, raw_text string, created_at timestamp_ntz"
+    same = [(f"i{i}", "d.example", f"Story {'abcdef'[i]}\nToday in brief", dt.datetime(2024, 1, 1)) for i in range(6)]
+    later = [(f"j{i}", "d.example", f"Later {'abcdef'[i]}", dt.datetime(2024, 1, 2)) for i in range(2)]
+    counted = lambda rows: L.counted(L.pages(spark.createDataFrame(rows, schema)))
+    assert L.repeated(counted(same + later)).count() == 0 and L.standing(counted(same + later)).count() == 1
+    assert L.repeated(counted(same)).count() == 1  # a domain known on one day is judged by its clusters
+    assert L.repeated(counted([(i, d, t, None) for i, d, t, _ in same])).count() == 1
 
 
 # tokens
@@ -142,6 +163,14 @@ def test_differencing_and_filling():
     where, m = T.fill(sizes, 2048)
     assert m <= -(-sum(sizes) // 2048) + 1
     assert T.fill([], 10) == ([], 0) and T.fill([5], 10) == ([0], 1)
+    # exchanges reach the bound where differencing alone overflows
+    sizes = [random.randint(50, 900) for _ in range(900)]
+    assert T.fill(sizes, 2048)[1] <= -(-sum(sizes) // 2048) + 1
+    import numpy as np
+
+    items, where = np.array([6, 5, 5, 4]), np.array([0, 0, 1, 1])
+    assert T.exchanged(items, where, 2, 10) and np.bincount(where, weights=items).tolist() == [10, 10]
+    assert not T.exchanged(np.array([7, 7, 7]), np.array([0, 0, 1]), 2, 10)
     two = T.differencing([8, 7, 6, 5, 4], 2)
     assert sorted(sum(x for x, c in zip([8, 7, 6, 5, 4], two) if c == k) for k in (0, 1)) == [14, 16]
     assert T.fill([7, 7, 7], 10)[1] == 3
@@ -164,6 +193,13 @@ def test_pack_keeps_every_token(spark):
     assert T.pack(df.limit(0), 2048).count() == 0
 
 
+def test_groups_are_spread_over_tasks(spark):
+    df = spark.range(4000).selectExpr("id as doc_id", "id % 700 + 1 as n_tokens")
+    rows = T.pack(df, 2048, 8).withColumn("task", F.spark_partition_id()).where("container_id not like 'full%'")
+    by = rows.select("task", F.split("container_id", "-")[0].alias("g")).distinct().groupBy("task").count().collect()
+    assert len(by) >= 40 and max(r["count"] for r in by) <= 3
+
+
 # truncation
 
 

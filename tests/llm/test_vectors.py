@@ -50,7 +50,7 @@ def test_clusters_equal_brute_force(spark, cell, monkeypatch):
     got = {(r.id_a, r.id_b) for r in V.cluster_pairs(found).collect()}
     want = {tuple(sorted((ids[i], ids[j]))) for i, j in brute(x, V.NEAR)}
     assert got == want
-    rec = V.cluster_records(found).collect()
+    rec = V.cluster_records(found, f).collect()
     assert sorted(r.article_count for r in rec) == [5] + [6] * 12 and all(len(r.representatives) == 3 for r in rec)
 
 
@@ -154,4 +154,113 @@ def test_a_step_that_does_not_help_is_undone(spark, monkeypatch):
     assert V._partition(v, DIM).count() == 200
     monkeypatch.undo()
     monkeypatch.setattr(V, "HELD_LINKS", 100, raising=False)
-    assert V.cluster_records(V.clusters(rows(spark, x))).collect()[0].article_count == 200
+    assert V.cluster_records(V.clusters(rows(spark, x)), rows(spark, x)).collect()[0].article_count == 200
+
+
+def test_medoids_of_merged_clusters_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(V, "CELL", 30)
+    x = np.concatenate([blobs(2, 90, 5), blobs(3, 4, 6)])
+    ids = [f"i{k:04d}" for k in np.random.default_rng(2).permutation(len(x))]
+    f = rows(spark, x, ids)
+    found = V.clusters(f)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    members: dict = {}
+    for r in found.collect():
+        members.setdefault(r.cluster, []).append(ids.index(r.id))
+    want = {}
+    for c, at in members.items():
+        total = u[at].sum(0)
+        s = np.round(u[at] @ total / np.linalg.norm(total), 5)
+        want[c] = [ids[at[j]] for j in sorted(range(len(at)), key=lambda j: (-s[j], ids[at[j]]))[:3]]
+    for part in (2000, 20):
+        monkeypatch.setattr(V, "PART", part)
+        got = {r.cluster: (r.article_count, r.representatives) for r in V.cluster_records(found, f).collect()}
+        assert {c: len(m) for c, m in members.items()} == {c: n for c, (n, _) in got.items()}
+        same = sum(len(set(got[c][1]) & set(want[c])) for c in want)
+        assert same >= 3 * len(want) - 2  # the last digit of a similarity may differ
+
+
+def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    n = 400
+    order = np.random.default_rng(1).permutation(n)
+    pairs = [(f"n{order[i]:04d}", f"n{order[i + 1]:04d}") for i in range(n - 1)] + [("x1", "x2"), ("x2", "x3")]
+    rounds = []
+    keep = V.shared
+    monkeypatch.setattr(V, "shared", lambda df: rounds.append(1) or keep(df))
+    got = {r.node: r.root for r in V.components(spark.createDataFrame(pairs, "a string, b string")).collect()}
+    assert {k: v for k, v in got.items() if k[0] == "n"} == {f"n{k:04d}": "n0000" for k in range(1, n)}
+    assert got["x2"] == got["x3"] == "x1" and len(rounds) <= 2 * 14
+    assert V.components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_exact_neighbours_and_recall(spark):
+    x = np.concatenate([np.random.default_rng(5).standard_normal((60, DIM)), np.repeat(blobs(1, 1, 9), 9, 0)])
+    ids = [f"i{k:04d}" for k in np.random.default_rng(1).permutation(len(x))]
+    f = rows(spark, x, ids).unionByName(rows(spark, [None], ["x"]))
+    want = exact(x, ids, 5)
+    got = {r.id: [n.id for n in r.neighbours] for r in V.exact_neighbours(f.unionByName(f.limit(9)), f.select("id").limit(30), 5).collect()}
+    assert len(got) >= 29 and all(got[i] == want[i] for i in got)
+    with pytest.raises(ValueError):
+        V.exact_neighbours(f, f.select("id"), 5, queries=10)
+    r = V.recall(V.nearest(f, 5), f, 5).first()
+    assert r.n_checked == 69 and r.recall == 1.0
+    assert V.recall(V.nearest(f.limit(0), 5), f.limit(0), 5).first().recall is None
+
+
+def synthetic(n, story, topic=40, queries=40):
+    """Landmarks and the vectors of some topics of a collection of n vectors in topics of stories, drawn without making all of it."""
+    a, b, c = np.sqrt(0.45), np.sqrt(0.78 - 0.45), np.sqrt(1 - 0.78)
+    normal = lambda *key: np.random.default_rng(key).standard_normal(DIM) / np.sqrt(DIM)
+
+    def vectors(at):
+        x = np.array([a * normal(1, i // topic) + b * normal(2, i // story) + c * normal(3, i) for i in at])
+        return (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+
+    rng = np.random.default_rng(3)
+    marks = np.sort(rng.choice(n, V.landmark_count(n), replace=False))
+    asked = (rng.choice(n // topic, queries, replace=False)[:, None] * topic + np.arange(topic)).ravel()
+    return marks, vectors(marks), asked, vectors(asked)
+
+
+def positions(n, marks, x, asked, y):
+    axes = V.directions(DIM, V.REDUCED_KNN, 50)
+    z = V.small(V.reduced(x, axes))
+    u = z.astype(np.float32)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    m = V.Landmarks(marks.astype(np.uint64), z, x @ V.place_axes(DIM, V.CURVES))
+    for _ in range(V.CALM_PASSES):
+        m = V.Landmarks(m.ids, z, m.draw(u, np.full(len(u), -1), V.CALM_SHARPNESS))
+    some = np.random.default_rng(4).permutation(len(u))[:8000]
+    spots = m.draw(u[some], some)
+    d = m.draw(V.reduced(y, axes), m.own(asked.astype(np.uint64)))
+    rest = np.random.default_rng(5).random(len(y))
+    return [V.Curve(spots[:, c * V.AXES : (c + 1) * V.AXES], c, n).positions(d[:, c * V.AXES : (c + 1) * V.AXES], rest) for c in range(V.CURVES)], spots
+
+
+@pytest.mark.parametrize("n, story", [(50_000, 8), (120_000, 20)])
+def test_recall_does_not_fall_with_the_collection(n, story):
+    marks, x, asked, y = synthetic(n, story)
+    p, _ = positions(n, marks, x, asked, y)
+    s = y @ y.T
+    np.fill_diagonal(s, -2)
+    hit = 0
+    for i in range(len(y)):
+        top = np.argsort(-s[i])[:5]
+        hit += np.any([np.abs(q[top] // V.BLOCK - q[i] // V.BLOCK) <= 1 for q in p], axis=0).sum()
+    assert hit / (5 * len(y)) >= 0.95
+
+
+def test_ranges_are_even_and_the_search_is_good_with_small_blocks(spark):
+    x = blobs(400, 5, 12, 0.02)
+    ids = [f"i{k:04d}" for k in np.random.default_rng(7).permutation(len(x))]
+    f = rows(spark, x, ids)
+    got = {r.id: {n.id for n in r.neighbours} for r in V.nearest(f, 4, span=500, block=128).collect()}
+    want = exact(x, ids, 4)
+    assert np.mean([len(got[i] & set(w)) / 4 for i, w in want.items()]) >= 0.9
+    m = V.landmark_count
+    assert m(10) == 10 and m(50_000) == V.LEAST_LANDMARKS and m(800_000) == 100_000 and m(10**9) == V.MOST_LANDMARKS
+    # positions of held-out vectors fill ranges evenly: the sample is not drawn by itself
+    marks, y, asked, z = synthetic(40_000, 8, queries=200)
+    for q in positions(40_000, marks, y, asked, z)[0]:
+        share = np.histogram(q, bins=8, range=(0, 40_000))[0] / len(q)
+        assert share.max() <= 2.2 / 8
