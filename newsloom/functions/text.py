@@ -1,34 +1,50 @@
-"""Text functions as column expressions; everything here runs inside whole-stage code generation."""
+"""Text functions as column expressions; all but the packing of chunks stay inside the JVM."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BLANK = r"[ \t\r\f\x0B]"
 
-#: Junk removal in order: pattern, replacement. Java needs (?md) so that only line feeds end lines.
+#: Edges of words in any script; a plain word boundary means ASCII words in some Java versions only.
+BEFORE, AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+#: Junk removal in order: pattern, replacement (fixed values). Java needs (?d) or (?md) so that only line feeds end lines.
 CLEAN_STEPS = (
     ("\\x{200B}", ""),
-    (r"!\[[^\]]*\]\([^)]*\)", ""),
-    (r"\[([^\]]+)\]\([^)]+\)", "$1"),
+    (r"(?d)!\[.*?\]\(.*?\)", ""),
+    (r"\[([^\[\]]+)\]\([^()]+\)", "$1"),
     (r"https?://[^ \t\r\f\x0B\n]+", ""),
     (r"<[^>]+>", ""),
-    (r"(?md)^#{1,6}[^\n]*$", ""),
-    (r"(?md)^[ \t]*(?:-{3,}|\*{3,}|_{3,})[ \t]*$", ""),
+    (r"(?md)^#{1,6}[ \t\r\f\x0B]+[^\n]*$", ""),
+    (r"(?md)^(?:-{3,}|\*{3,})$", ""),
     (r"(?s)```.*?```", ""),
-    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", ""),
-    (r"[0-9]{10,}", ""),
+    (r"[\p{L}\p{N}_][\p{L}\p{N}_.-]*@[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_]{2,4}" + AFTER, ""),
+    (BEFORE + "[0-9]{10,}" + AFTER, ""),
     (_BLANK + "+", " "),
     (r" *\n *", "\n"),
     (r"\n+", "\n"),
     (r"^[ \n]+|[ \n]+$", ""),
 )
+#: Notices in page text, each up to the end of its line, and a wire credit (fixed values).
+NOTICES = (
+    r"(?i)\bcookies? (?:notice|policy)\b[^\n]*",
+    r"(?i)\b(?:ads?|advertisement|sponsored)\b[^\n]*",
+    r"(?i)\bprivacy (?:notice|policy)\b[^\n]*",
+    r"(?i)\bsubscribe now\b[^\n]*",
+    r"(?i)\b(?:login|sign in) to continue\b[^\n]*",
+    r"\([ \t]*AP[ \t]*\)",
+    r"(?i)\bby[ \t]*,?[ \t]*by[ \t]*,?[ \t]*and[ \t]*received[ \t]*from\b[^\n]*",
+)
 #: Ends of sentences: Latin, Devanagari, Arabic and CJK marks.
 TERMINATORS = ".!?।؟。！？"
 WORD = r"[\p{L}\p{N}_\p{M}]+"
+#: A word, or one other mark; the blanks are named, since regular expression engines differ over them.
+TOKEN = r"([\p{L}\p{N}_\p{M}]+|[^\p{L}\p{N}_\p{M} \t\r\n\f\x0B])"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -49,10 +65,24 @@ def squeeze(c: Column) -> Column:
 
 
 def pre_clean(c: Column) -> Column:
-    """Lines cut from a notice marker on, repeated lines dropped in order, blank runs squeezed."""
-    marks = r"(?i)\b(?:cookie policy|privacy policy|advertisement|subscribe now|sign in to|all rights reserved)\b[^\n]*"
-    lines = F.split(F.regexp_replace(c, marks, ""), "\n")
-    return F.array_join(F.array_distinct(F.filter(F.transform(lines, squeeze), lambda x: x != "")), "\n")
+    """Lines cut from a notice on and without wire credits, trimmed, repeated lines dropped in order, blank runs squeezed."""
+    for pattern in NOTICES:
+        c = F.regexp_replace(c, pattern, "")
+    trimmed = F.transform(F.split(c, "\n"), lambda x: F.regexp_replace(x, r"^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$", ""))
+    return F.regexp_replace(F.array_join(F.array_distinct(F.filter(trimmed, lambda x: x != "")), "\n"), "[ \\t]+", " ")
+
+
+def squeeze_nested(c: Column, kind: T.DataType) -> Column:
+    """Every string in a value of any depth (structs, arrays, map values) squeezed; other values stay."""
+    if isinstance(kind, T.StringType):
+        return squeeze(c)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: squeeze_nested(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda _, v: squeeze_nested(v, kind.valueType))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[squeeze_nested(c[f.name], f.dataType).alias(f.name) for f in kind]))
+    return c
 
 
 def sentences(c: Column, least: int = 0) -> Column:
@@ -63,8 +93,43 @@ def sentences(c: Column, least: int = 0) -> Column:
 
 
 def first_sentences(c: Column, n: int = 4) -> Column:
-    """The first n sentences of a squeezed text without a leading quotation mark or dash."""
-    return F.array_join(F.slice(sentences(F.regexp_replace(squeeze(c), r"^[\"'“”«»–—-]+ *", "")), 1, n), " ")
+    """The first n sentences of a squeezed text without a leading quotation mark or dash; '' where there is none."""
+    bare = F.regexp_replace(squeeze(c), "^[\"'–—-] *", "")
+    marked = F.regexp_replace(bare, "([.!?]) +", "$1\x01")
+    return F.array_join(F.slice(F.split(marked, "\x01"), 1, n), " ")
+
+
+#: Languages whose sentences end at a mark before white space; in all others a mark alone ends one.
+SPACED = ("en", "fr", "de", "es", "pt", "it", "nl", "tr", "sv", "da", "fi", "no", "pl", "sl", "et", "el", "ru")
+#: Words before a full stop that end no sentence, for the languages that have such a list.
+ABBREVIATIONS = {
+    "en": ("Mr", "Mrs", "Ms", "Dr", "Prof", "Sen", "Rep", "Gov", "Gen", "St", "No", "vs"),
+    "de": ("Dr", "Prof", "Nr", "bzw", "ca", "usw"),
+    "fr": ("M", "Mme", "Dr", "Prof", "av"),
+    "es": ("Sr", "Sra", "Dr", "Dra", "Prof"),
+    "it": ("Sig", "Dott", "Prof"),
+    "pt": ("Sr", "Sra", "Dr", "Dra", "Prof"),
+}
+
+
+def sentences_in(c: Column, lang: Column, least: int = 20) -> Column:
+    """Sentences of a text in a language of the table; in another, those longer than ``least`` that end at any mark.
+
+    Where that leaves none: the parts between full stops longer than ``least``, and the whole text where there are
+    none of them either. Blank texts have none.
+    """
+    spaced = F.lit(None).cast("array<string>")
+    for code in SPACED:
+        held = c
+        if code in ABBREVIATIONS:
+            held = F.regexp_replace(c, rf"\b({'|'.join(ABBREVIATIONS[code])})\. ", "$1.\u0002")
+        spaced = F.when(lang == code, F.transform(sentences(held), lambda x: F.replace(x, F.lit("\u0002"), F.lit(" ")))).otherwise(spaced)
+    long = lambda a: F.filter(F.transform(a, squeeze), lambda x: F.length(x) > least)
+    by_mark = long(F.regexp_extract_all(c, F.lit(rf"([^{TERMINATORS}]*[{TERMINATORS}]+|[^{TERMINATORS}]+$)"), 1))
+    naive = long(F.split(c, "\\."))
+    whole = F.when(squeeze(c) != "", F.array(c)).otherwise(F.expr("cast(array() as array<string>)"))
+    other = let(by_mark, lambda a: F.when(F.size(a) > 0, a).otherwise(let(naive, lambda n: F.when(F.size(n) > 0, n).otherwise(whole))))
+    return F.coalesce(spaced, other)
 
 
 def words(c: Column) -> Column:
@@ -74,24 +139,35 @@ def words(c: Column) -> Column:
 
 def token_count(c: Column) -> Column:
     """Words and single other marks: the default stand-in for a model's token count."""
-    return F.coalesce(F.size(F.regexp_extract_all(c, F.lit(r"([\p{L}\p{N}_\p{M}]+|[^\p{L}\p{N}_\p{M}\s])"), 1)), F.lit(0))
+    return F.coalesce(F.size(F.regexp_extract_all(c, F.lit(TOKEN), 1)), F.lit(0))
 
 
-def pack(parts: Column, limit: int) -> Column:
+def packed(parts: list[str], limit: int) -> list[str]:
     """Greedy packing of strings into chunks of at most ``limit`` characters, parted by a space; longer strings are sliced first."""
-    sliced = F.flatten(F.transform(parts, lambda s: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length(s) - 1) / limit).cast("int"))), lambda i: F.substring(s, i * limit + 1, F.lit(limit)))))
-    start = F.struct(F.expr("cast(array() as array<string>)").alias("done"), F.lit("").alias("cur"))
+    out: list[str] = []
+    cur: list[str] = []
+    used = 0
+    for s in parts:
+        for i in range(0, len(s), limit):
+            x = s[i : i + limit]
+            if cur and used + len(x) + 1 > limit:
+                out.append(" ".join(cur))
+                cur, used = [], 0
+            used += len(x) + (1 if cur else 0)
+            cur.append(x)
+    if used:
+        out.append(" ".join(cur))
+    return out
+
+
+def pack(parts: Column, limit: int) -> Column:
+    """``packed`` over Arrow batches: linear in the text, where a fold in expressions copies its chunks at each step."""
 
-    def step(acc: Column, s: Column) -> Column:
-        fits = F.length(acc["cur"]) + F.length(s) + 1 <= limit
-        return (
-            F.when(acc["cur"] == "", F.struct(acc["done"].alias("done"), s.alias("cur")))
-            .when(fits, F.struct(acc["done"].alias("done"), F.concat_ws(" ", acc["cur"], s).alias("cur")))
-            .otherwise(F.struct(F.concat(acc["done"], F.array(acc["cur"])).alias("done"), s.alias("cur")))
-        )
+    @F.pandas_udf("array<string>")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if x is None else packed(list(x), limit))
 
-    return F.aggregate(sliced, start, step, lambda acc: F.when(acc["cur"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))))
+    return run(parts)
 
 
 def smart_split(c: Column, limit: int = 2000, most: int = 0) -> Column:
@@ -100,6 +176,12 @@ def smart_split(c: Column, limit: int = 2000, most: int = 0) -> Column:
     return F.slice(out, 1, most) if most else out
 
 
+def chunk_text(c: Column, lang: Column, limit: int, prefix: str = "summarize: ") -> Column:
+    """Sentences packed into chunks of at most ``limit`` characters more than the prefix has; null where there are no sentences."""
+    s = sentences_in(c, lang)
+    return F.when(F.size(s) > 0, pack(s, limit + len(prefix)))
+
+
 def content_id(c: Column) -> Column:
     """Name-based UUID (version 5, URL name space) of a text, so equal texts share an id."""
     h = F.sha1(F.concat(F.unhex(F.lit("6ba7b8119dad11d180b400c04fd430c8")), F.encode(c, "UTF-8")))
@@ -122,16 +204,18 @@ def bigrams(w: Column) -> Column:
     return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat_ws(" ", a, b))
 
 
-CAPITALISED = r"((?:[A-Z][\p{L}\p{N}'-]*)(?: [A-Z][\p{L}\p{N}'-]*){0,3})"
-DATES = r"([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4})"
-NUMBERS = r"([0-9]+(?:[.,][0-9]+)*)"
+#: Patterns of names, dates and figures (fixed values).
+_GAP = r"[ \t\r\n\f\x0B]+"
+CAPITALISED = BEFORE + rf"([A-Z][a-z]+(?:{_GAP}[A-Z][a-z]+){{0,3}})" + AFTER
+DATES = "(?i)" + BEFORE + rf"([0-9]{{1,2}}[./-][0-9]{{1,2}}[./-][0-9]{{2,4}}|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*{_GAP}[0-9]{{1,2}},?{_GAP}[0-9]{{2,4}}|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})" + AFTER
+NUMBERS = BEFORE + r"([0-9]+(?:[.,][0-9]+)?)" + AFTER
 
 
 def entities(c: Column, most: int = 50) -> Column:
     """Struct of names, dates and numbers by pattern; case-insensitive duplicates keep their first spelling."""
     def first_spelling(found: Column) -> Column:
         both = F.struct(found.alias("f"), F.transform(found, F.lower).alias("l"))
-        return let(both, lambda s: F.slice(F.filter(s["f"], lambda x, i: F.array_position(s["l"], F.lower(x)) == i + 1), 1, most))
+        return let(both, lambda s: F.transform(F.slice(F.array_distinct(s["l"]), 1, most), lambda x: F.element_at(s["f"], F.array_position(s["l"], x).cast("int"))))
 
     return F.struct(
         first_spelling(F.regexp_extract_all(c, F.lit(CAPITALISED), 1)).alias("names"),
@@ -140,6 +224,14 @@ def entities(c: Column, most: int = 50) -> Column:
     )
 
 
+def must_keep(e: Column, most: int = 15) -> Column:
+    """Lower-case names, then the first five dates, of ``entities`` that a summary must keep, each once, at most ``most``.
+
+    Each spelling stands once in a list of entities, so the order of frequency is that of first sight.
+    """
+    return F.slice(F.array_distinct(F.transform(F.concat(e["names"], F.slice(e["dates"], 1, 5)), F.lower)), 1, most)
+
+
 def tolerant_json(c: Column, schema: str) -> Column:
     """Parsed JSON of a string that may be fenced or wrapped in prose; null if nothing parses."""
     bare = F.trim(F.regexp_replace(c, r"^\s*```(?:json)?\s*|\s*```\s*$", ""))

@@ -73,8 +73,12 @@ def density(x: np.ndarray, least: int = 5, epsilon: float = 0.05) -> np.ndarray:
     if n < 2 * least:
         return np.full(n, -1, np.int64)
     x = unit_rows(x)
-    core = np.array([np.partition(np.sqrt(np.maximum(2 - 2 * (x @ x[i]), 0)), least - 1)[least - 1] for i in range(n)])
-    return condensed(n, spanning_edges(x, core), least, epsilon)
+    return condensed(n, spanning_edges(x, core_distances(x, least)), least, epsilon)
+
+
+def core_distances(x: np.ndarray, least: int) -> np.ndarray:
+    """Distance of each unit row to its ``least``-th nearest, itself included."""
+    return np.array([np.partition(np.sqrt(np.maximum(2 - 2 * (x @ x[i]), 0)), least - 1)[least - 1] for i in range(len(x))])
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -101,10 +105,8 @@ def spanning_edges(x: np.ndarray, core: np.ndarray) -> list[tuple[float, int, in
     return edges
 
 
-def condensed(n: int, edges: list[tuple[float, int, int]], least: int, epsilon: float) -> np.ndarray:
-    """Labels of ``n`` rows from edges that hold their minimum spanning tree; edges within a component are passed over."""
-    edges = sorted(edges)
-    # single linkage: node -> (left, right, distance, size)
+def linkage(n: int, edges: list[tuple[float, int, int]]) -> tuple[dict[int, tuple[int, int, float, int]], list[int]]:
+    """Single-linkage tree of ``n`` rows: node -> (left, right, distance, size), and the size of every node; the root is 2n - 2."""
     parent = list(range(2 * n - 1))
     tree: dict[int, tuple[int, int, float, int]] = {}
     size = [1] * n + [0] * (n - 1)
@@ -116,7 +118,7 @@ def condensed(n: int, edges: list[tuple[float, int, int]], least: int, epsilon:
         return i
 
     node = n - 1
-    for d, a, b in edges:
+    for d, a, b in sorted(edges):
         a, b = root(a), root(b)
         if a == b:
             continue
@@ -124,6 +126,102 @@ def condensed(n: int, edges: list[tuple[float, int, int]], least: int, epsilon:
         parent[a] = parent[b] = node
         size[node] = size[a] + size[b]
         tree[node] = (a, b, float(d), size[node])
+    return tree, size
+
+
+def soft_outputs(n: int, edges: list[tuple[float, int, int]], label: np.ndarray, least: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(membership probability, outlier score) of each row of a density clustering.
+
+    A row leaves its condensed cluster at a distance; its density is the inverse. The probability is the density
+    over the largest of its label, 0 for noise; the outlier score is 1 less the density over the largest that
+    stays in the cluster it left, or below it.
+    """
+    tree, size = linkage(n, edges)
+    density_of, home = np.zeros(n), np.zeros(n, np.int64)
+    up: dict[int, int] = {}
+    order = [2 * n - 2]
+    todo = [(2 * n - 2, 2 * n - 2)] if n > 1 else []
+
+    def drop(node: int, d: float, cluster: int) -> None:
+        rows = [node]
+        while rows:
+            v = rows.pop()
+            if v < n:
+                density_of[v], home[v] = 1 / max(d, 1e-12), cluster
+            else:
+                rows += tree[v][:2]
+
+    while todo:
+        node, cluster = todo.pop()
+        while node >= n:
+            a, b, d, _ = tree[node]
+            big = [c for c in (a, b) if size[c] >= least]
+            for c in (a, b):
+                if size[c] < least:
+                    drop(c, d, cluster)
+            if len(big) == 2:
+                for c in big:
+                    up[c] = cluster
+                    order.append(c)
+                    todo.append((c, c))
+            if len(big) != 1:
+                break
+            node = big[0]
+    peak: dict[int, float] = {c: 0.0 for c in order}
+    for p in range(n):
+        peak[int(home[p])] = max(peak.get(int(home[p]), 0.0), float(density_of[p]))
+    for c in reversed(order):
+        if c in up:
+            peak[up[c]] = max(peak[up[c]], peak[c])
+    outlier = np.array([1 - density_of[p] / peak[int(home[p])] if peak[int(home[p])] > 0 else 0.0 for p in range(n)])
+    probability = np.zeros(n)
+    for c in set(label.tolist()) - {-1}:
+        own = label == c
+        probability[own] = density_of[own] / max(float(density_of[own].max()), 1e-300)
+    return probability, outlier
+
+
+def soft_topics(vectors: DataFrame, least: int = 5, topic: str = "topic", key: str = "id", embedding: str = "embedding") -> DataFrame:
+    """(topic, key, label, probability, outlier) of the density clustering of each topic; one topic is one task."""
+    kinds = {f.name: f.dataType.simpleString() for f in vectors.schema}
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(key, kind="stable")
+        n = len(pdf)
+        label, probability, outlier = np.full(n, -1), np.zeros(n), np.zeros(n)
+        if n >= 2 * least:
+            x = unit_rows(np.stack(pdf[embedding].to_numpy()).astype(np.float64))
+            edges = spanning_edges(x, core_distances(x, least))
+            label = condensed(n, edges, least, 0.05)
+            probability, outlier = soft_outputs(n, edges, label, least)
+        return pd.DataFrame({topic: pdf[topic], key: pdf[key], "label": label.astype(np.int32), "probability": probability, "outlier": outlier})
+
+    schema = f"{topic} {kinds[topic]}, {key} {kinds[key]}, label int, probability double, outlier double"
+    return vectors.select(topic, key, embedding).groupBy(topic).applyInPandas(run, schema)
+
+
+def reduced(vectors: DataFrame, k: int = 20, key: str = "id", embedding: str = "embedding") -> DataFrame:
+    """(key, embedding) on the ``k`` main axes of all vectors: an optional step before clustering.
+
+    The covariance, a matrix of the dimension squared, is summed over the cluster; only it reaches the driver.
+    """
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    rows = vectors.where(F.col(embedding).isNotNull()).select(key, array_to_vector(F.transform(embedding, lambda x: x.cast("double"))).alias("_v"))
+    model = PCA(k=k, inputCol="_v", outputCol="_p").fit(rows)
+    return model.transform(rows).select(key, vector_to_array("_p").alias("embedding"))
+
+
+def noise_counts(labels: DataFrame, *keys: str) -> DataFrame:
+    """(keys, n_noise, n_clusters, fallback): rows of label -1, distinct other labels, and whether none of them is there."""
+    g = labels.groupBy(*keys).agg(F.sum((F.col("label") == -1).cast("long")).alias("n_noise"), F.count_distinct(F.when(F.col("label") != -1, F.col("label"))).alias("n_clusters"))
+    return g.withColumn("fallback", F.col("n_clusters") == 0)
+
+
+def condensed(n: int, edges: list[tuple[float, int, int]], least: int, epsilon: float) -> np.ndarray:
+    """Labels of ``n`` rows from edges that hold their minimum spanning tree; edges within a component are passed over."""
+    tree, size = linkage(n, edges)
 
     def rows_of(node: int) -> list[int]:
         out, todo = [], [node]

@@ -6,14 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rates(events: DataFrame, *keys: str) -> DataFrame:
-    """Requests, errors, error rate, mean value and requests per second of each group."""
-    g = events.groupBy(*keys).agg(
-        F.count("*").alias("requests"), F.sum((F.col("event_type") == "error").cast("long")).alias("errors"), F.avg("value").alias("mean_value"),
-        F.min("ts").alias("_a"), F.max("ts").alias("_b"),
+def rates(events: DataFrame, *keys: str, batch: str = "user_id") -> DataFrame:
+    """Requests, errors, batches and their rates for each group; the requests of one ``batch`` value are a batch.
+
+    Per second over the time between first and last event (a second at least); ``batch_efficiency`` is requests per
+    second over ten times the batches, at most 1.
+    """
+    g = events.groupBy(*keys, batch).agg(
+        F.count("*").alias("n"), F.sum((F.col("event_type") == "error").cast("long")).alias("e"), F.sum("value").alias("v"), F.min("ts").alias("a"), F.max("ts").alias("b"),
+    ).groupBy(*keys).agg(
+        F.sum("n").alias("requests"), F.sum("e").alias("errors"), F.count("*").alias("batches"), F.sum("v").alias("_v"), F.min("a").alias("_a"), F.max("b").alias("_b"),
+    )
+    seconds = F.greatest(F.expr("timestampdiff(SECOND, _a, _b)"), F.lit(1))
+    return g.select(
+        *keys, "requests", "errors", "batches", F.round(F.col("errors") / F.col("requests"), 6).alias("error_rate"), F.round(F.col("_v") / F.col("requests"), 6).alias("mean_value"),
+        F.round(F.col("_v") / F.col("batches"), 6).alias("mean_batch"), F.round(F.col("requests") / seconds, 6).alias("per_second"), F.round(F.col("batches") / seconds, 6).alias("batches_per_second"),
+        F.round(F.least(F.lit(1.0), F.col("requests") / seconds / (F.col("batches") * 10)), 6).alias("batch_efficiency"),
     )
-    seconds = F.timestampdiff("SECOND", F.col("_a"), F.col("_b")) if hasattr(F, "timestampdiff") else F.expr("timestampdiff(SECOND, _a, _b)")
-    return g.select(*keys, "requests", "errors", F.round(F.col("errors") / F.col("requests"), 6).alias("error_rate"), F.round("mean_value", 6).alias("mean_value"), F.round(F.col("requests") / F.greatest(seconds, F.lit(1)), 6).alias("per_second"))
 
 
 def health(gpu: Column, cpu: Column, errors: Column, efficiency: Column) -> Column:
@@ -41,8 +50,41 @@ def rolling(events: DataFrame, key: str, size: int = 1000) -> DataFrame:
     return events.withColumn("rolling_mean", F.avg("value").over(w)).withColumn("rolling_n", F.count("*").over(w))
 
 
-def trend(events: DataFrame, key: str, size: int = 10, floor: float = 1.0) -> DataFrame:
-    """(last - first) / max(first, floor) over the last ``size`` rows; null while there are fewer."""
+#: Least denominators of a relative trend: of rates, and of shares and errors (fixed values).
+RATE_FLOOR, SHARE_FLOOR = 1.0, 0.001
+
+
+def trend(events: DataFrame, key: str, size: int = 10, floor: float | None = RATE_FLOOR, value: str = "value", name: str = "trend") -> DataFrame:
+    """(last - first) / max(first, floor) over the last ``size`` rows, the plain difference without ``floor``; null while there are fewer.
+
+    The plain form is 0 where one of the two values is zero or missing, as of a device that is not there.
+    """
     w = Window.partitionBy(key).orderBy("ts", "event_id")
-    first = F.lag("value", size - 1).over(w)
-    return events.withColumn("trend", F.when(F.row_number().over(w) >= size, (F.col("value") - first) / F.greatest(first, F.lit(floor))))
+    first, last = F.lag(value, size - 1).over(w), F.col(value)
+    if floor is None:
+        change = F.when((F.coalesce(first, F.lit(0.0)) != 0) & (F.coalesce(last, F.lit(0.0)) != 0), last - first).otherwise(0.0)
+    else:
+        change = (last - first) / F.greatest(first, F.lit(floor))
+    return events.withColumn(name, F.when(F.row_number().over(w) >= size, change))
+
+
+def pool_size(free_bytes: int | None, estimate_bytes: int, most: int) -> int:
+    """Instances of a model on one device: as many as fit into the free memory, at least 1 and at most ``most``; ``most`` without a device."""
+    return most if free_bytes is None or estimate_bytes <= 0 else min(max(1, free_bytes // estimate_bytes), most)
+
+
+def device(available: bool, force_cpu: bool = False, force_gpu: bool = False) -> str:
+    """'cpu' or 'gpu': forcing the CPU wins over forcing the GPU, which fails where there is none; else the GPU if there is one."""
+    if force_cpu:
+        return "cpu"
+    if force_gpu and not available:
+        raise RuntimeError("a GPU is demanded but none is available")
+    return "gpu" if available else "cpu"
+
+
+def task_resources(free_bytes: int | None, estimate_bytes: int, most: int, cores: int) -> dict[str, str]:
+    """Spark settings under which as many tasks share an executor as model instances fit: a share of a GPU for each task, or whole cores."""
+    n = pool_size(free_bytes, estimate_bytes, most)
+    if free_bytes is None:
+        return {"spark.task.cpus": str(max(1, cores // n))}
+    return {"spark.executor.resource.gpu.amount": "1", "spark.task.resource.gpu.amount": f"{1 / n:.4f}"}

@@ -6,7 +6,7 @@ import heapq
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -22,36 +22,32 @@ def windows_of(sentences: list[str], size: int, overlap: int, prefix: str = "")
     """Windows of at most ``size`` tokens; each begins with the last sentences of the one before, up to ``overlap`` tokens and more by one sentence.
 
     A sentence above the size stands alone. The carried tail is dropped where it would keep the next sentence
-    out, so every window takes at least one new sentence.
+    out, so every window takes at least one new sentence. Tokens are counted once for each sentence.
     """
+    counts = [count_tokens(s) for s in sentences]
     out: list[str] = []
-    cur: list[str] = []
-    used = fresh = 0
-    for s in sentences:
-        n = count_tokens(s)
+    start = used = fresh = 0
+    for i, n in enumerate(counts):
         if fresh and used + n > size:
-            out.append(prefix + " ".join(cur))
-            tail, held = [], 0
-            for x in reversed(cur):
-                if held >= overlap:
-                    break
-                tail.insert(0, x)
-                held += count_tokens(x)
-            cur, used, fresh = (tail, held, 0) if held + n <= size else ([], 0, 0)
-        cur.append(s)
+            out.append(prefix + " ".join(sentences[start:i]))
+            held, first = 0, i
+            while first > start and held < overlap:
+                first -= 1
+                held += counts[first]
+            start, used, fresh = (first, held, 0) if held + n <= size else (i, 0, 0)
         used += n
         fresh += 1
     if fresh:
-        out.append(prefix + " ".join(cur))
+        out.append(prefix + " ".join(sentences[start:]))
     return out
 
 
-def token_windows(docs: DataFrame, size: int = 950, overlap: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
+def token_windows(docs: DataFrame, size: int = 950, overlap: int = 50, key: str = "doc_id", text: str = "text", prefix: str = "") -> DataFrame:
     """(key, windows) of every document; null and blank texts have none."""
 
     @F.pandas_udf("array<string>")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: windows_of([] if x is None else list(x), size, overlap))
+        return s.map(lambda x: windows_of([] if x is None else list(x), size, overlap, prefix))
 
     return docs.select(key, run(X.sentences(F.col(text))).alias("windows"))
 
@@ -62,9 +58,23 @@ def pack_documents(rows: DataFrame, keys: list[str], order: list[str], text: str
     Token counts are taken in Spark; only small (order, count) rows reach the sequential step, which sees one
     group at a time. A document above the budget is clamped to it.
     """
-    cost = F.least(X.token_count(F.concat_ws(" ", F.concat(F.lit("["), F.coalesce(F.col(label), F.lit("unknown")), F.lit("]")), F.col(text))) + 3, F.lit(budget))
-    small = rows.select(*keys, *order, cost.cast("long").alias("cost"))
-    kinds = {f.name: f.dataType.simpleString() for f in small.schema}
+    small = rows.select(*keys, *order, document_cost(F.col(label), F.col(text), budget).alias("cost"))
+    g = chunked(small, keys, order, budget).groupBy(*keys, "chunk")
+    return g.agg(F.count("*").cast("int").alias("n_docs"), F.sum("cost").alias("tokens"))
+
+
+def document_cost(label: Column, text: Column, budget: int) -> Column:
+    """Tokens of a document with its head and its separator, at most the budget."""
+    head = F.concat(F.lit("["), F.coalesce(label, F.lit("unknown")), F.lit("]"))
+    return F.least(X.token_count(F.concat_ws(" ", head, text)) + 3, F.lit(budget)).cast("long")
+
+
+def chunked(small: DataFrame, keys: list[str], order: list[str], budget: int) -> DataFrame:
+    """Rows with ``chunk``: the number, from 0, of the chunk of at most ``budget`` of ``cost`` that each row of a group falls into, in order.
+
+    The step is sequential in a group by nature; it sees (order, cost) rows only, some 50 bytes each.
+    """
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in small.schema) + ", chunk int"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
@@ -75,28 +85,37 @@ def pack_documents(rows: DataFrame, keys: list[str], order: list[str], text: str
                 chunk, used = chunk + 1, 0
             used += c
             got.append(chunk)
-        pdf["chunk"] = got
-        g = pdf.groupby("chunk", sort=True)["cost"].agg(["size", "sum"]).reset_index()
-        return pd.DataFrame({**{k: [pdf[k].iloc[0]] * len(g) for k in keys}, "chunk": g["chunk"], "n_docs": g["size"], "tokens": g["sum"]})
+        return pdf.assign(chunk=got)
 
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", chunk int, n_docs int, tokens long"
     return small.groupBy(*keys).applyInPandas(run, schema)
 
 
-def route_of(lengths: list[int], remote: tuple[float, float, int] = (120.0, 0.010, 4800), local: tuple[float, float, int] = (6.0, 0.030, 512), slots: int = 8, cut_over: int | None = None, bias: float = 0.0) -> list[str]:
-    """'remote' or 'local' for each text in order: whichever queue would finish it earlier.
+def service_time(n: int, side: tuple[float, float, int]) -> float:
+    """Milliseconds of a text of ``n`` characters: a fixed part for each request of at most so many characters and a part for each character."""
+    alpha, beta, most = side
+    return -(-n // most) * alpha + n * beta
+
+
+#: Fixed and per-character milliseconds and characters of a request, of the remote and the local service (fixed values).
+REMOTE, LOCAL = (120.0, 0.010, 4800), (6.0, 0.030, 512)
+
+
+def route_of(lengths: list[int], remote: tuple[float, float, int] = REMOTE, local: tuple[float, float, int] = LOCAL, slots: int = 8, cut_over: int | None = None, bias: float = 0.0) -> list[str]:
+    """'remote' or 'local' for each text in order: whichever queue would finish it earlier, the remote one where both would at once.
 
-    A service takes ceil(L / max) * alpha + L * beta; the remote service is one queue, the local one ``slots``.
+    The remote service is one queue, the local one ``slots``; ``bias`` is added to each remote text and stays in
+    its queue. Texts from ``cut_over`` characters on are meant for the remote side, but a slower remote queue still
+    sends them to the local one, so the same comparison decides them.
     """
+    if slots < 1:
+        raise ValueError("the local service needs a slot")
     free = [0.0] * slots
-    heapq.heapify(free)
     queue = 0.0
     out = []
     for n in lengths:
-        cost = lambda s: max(1, -(-n // s[2])) * s[0] + n * s[1]  # noqa: B023, E731
-        far, near = queue + cost(remote) + bias, free[0] + cost(local)
-        if (cut_over is not None and n >= cut_over) or far < near:
-            queue += cost(remote)
+        far, near = queue + service_time(n, remote) + bias, free[0] + service_time(n, local)
+        if far <= near:
+            queue = far
             out.append("remote")
         else:
             heapq.heapreplace(free, near)

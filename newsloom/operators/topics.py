@@ -47,3 +47,8 @@ def not_language(c: Column, code: str = "en") -> Column:
 
 def daily_name(base: str, day: Column) -> Column:
     return F.concat(F.lit(base + "_"), F.date_format(day, "yyyyMMdd"))
+
+
+def merged_map(left: Column, right: Column) -> Column:
+    """Both maps in one; where a key is in both, the right one's value stands."""
+    return F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)

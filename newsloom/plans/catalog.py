@@ -13,9 +13,11 @@ from ..functions import text as X
 from ..operators import aggregate as A
 from ..operators import cluster as C
 from ..operators import compress as Z
+from ..operators import meta as N
 from ..operators import metrics as M
 from ..operators import packing as K
 from ..operators import topics as TP
+from ..session import scratch
 from ..sources import store as S
 from ..streaming import windows as W
 
@@ -72,10 +74,15 @@ def src7_json_list(spark, d):
     return p.select("id", F.size("domains").cast("long").alias("n"), F.array_join("domains", "|").alias("domains"))
 
 
-@_query("select url, max(title) as title, count(*) as n from api_articles where url is not null and title is not null group by url")
+_TIME = """coalesce(try_strptime(trim(seendate), '%Y-%m-%dT%H:%M:%S'), try_strptime(trim(seendate), '%Y-%m-%d %H:%M:%S'), try_strptime(trim(seendate), '%Y%m%dT%H%M%SZ'),
+    try_strptime(trim(seendate), '%Y-%m-%dT%H:%M:%SZ'), try_strptime(trim(seendate), '%Y-%m-%d'), try_strptime(trim(seendate), '%d/%m/%Y'))"""
+
+
+@_query(f"""select url, title, strftime(seen, '%Y-%m-%d %H:%M:%S') as seen_at, image, domain, language, sourcecountry from (select *, row_number() over (partition by url
+        order by seen desc nulls last, title desc nulls last, image desc nulls last, domain desc nulls last, language desc nulls last, sourcecountry desc nulls last) as r
+    from (select url, title, {_TIME} as seen, socialimage as image, domain, language, coalesce(nullif(sourcecountry, ''), 'unknown') as sourcecountry from api_articles where url is not null and title is not null)) where r = 1""")
 def src17_api_articles(spark, d):
-    a = _t(spark, d, "api_articles").where("url is not null and title is not null")
-    return a.groupBy("url").agg(F.max("title").alias("title"), F.count("*").alias("n"))
+    return S.api_articles(_t(spark, d, "api_articles")).withColumn("seen_at", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @_query(f"""select flashpoint_id, id, coalesce(nullif(image, ''), 'unknown') as image, coalesce(nullif(language, ''), 'unknown') as language, raw_text as document
@@ -96,14 +103,75 @@ def src20_knn(spark, d):
     return S.query_similar(e, first.embedding, 5, "vec_id").select("vec_id", F.round("similarity", 5).alias("similarity"))
 
 
-@_query("select id, flashpoint_id, to_json(top_domains) as top_domains, len(urls) as n_urls from news_clusters")
+@_query("""select flashpoint_id, cluster_id, summary, article_count, coalesce(array_to_string(top_domains, '|'), '') as top_domains, coalesce(len(urls), 0) as n_urls, coalesce(len(images), 0) as n_images, coalesce(len(languages), 0) as n_languages from news_clusters""")
 def src24_cluster_sink(spark, d):
-    return _t(spark, d, "news_clusters").select("id", "flashpoint_id", F.to_json("top_domains").alias("top_domains"), F.size("urls").cast("long").alias("n_urls"))
+    """Cluster rows written with their lists as JSON into a day's partition and read back."""
+    path = scratch(spark, "clusters")
+    S.init_day(spark, path, "2025-01-01")
+    S.store_clusters(_t(spark, d, "news_clusters"), path, "2025-01-01")
+    r = S.load_clusters(spark, path, "2025-01-01")
+    return r.select("flashpoint_id", "cluster_id", "summary", "article_count", F.array_join("top_domains", "|").alias("top_domains"), *[F.size(c).cast("long").alias(f"n_{c}") for c in ("urls", "images", "languages")])
 
 
-@_query(rf"""select id, trim(regexp_replace(raw_text, '[ \t\r\f\x0B\n]+', ' ', 'g')) as raw_text from {_once('raw_text')}""")
+@_query(rf"""select id, flashpoint_id, trim(regexp_replace(raw_text, '[ \t\r\f\x0B\n]+', ' ', 'g')) as raw_text, trim(regexp_replace(title, '[ \t\r\f\x0B\n]+', ' ', 'g')) as title, strftime(created_at, '%Y-%m-%d %H:%M:%S') as created_at
+    from {_once('flashpoint_id', 'raw_text', 'title', 'created_at')} where flashpoint_id is not null""")
 def src25_checkpoint_rows(spark, d):
-    return _feeds(spark, d, "raw_text").select("id", X.squeeze(F.col("raw_text")).alias("raw_text"))
+    """Feeds written as JSON lines for each topic and day, and read back."""
+    path = scratch(spark, "checkpoint")
+    S.write_checkpoint(_t(spark, d, "feeds").where("flashpoint_id is not null").dropDuplicates(["id"]), path, "2025-01-01")
+    r = S.read_checkpoint(spark, path)
+    return r.select("id", "flashpoint_id", "raw_text", "title", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
+
+
+def _collections(spark, d) -> str:
+    path = scratch(spark, "collections")
+    f = _feeds(spark, d, "flashpoint_id", "url", "image", "domain", "sourcecountry", "language", "raw_text", "summary", "embedding").where("flashpoint_id is not null")
+    S.insert_collection(S.collection_rows(f), path)
+    return path
+
+
+_STORED = f"{_once('flashpoint_id', 'raw_text', 'embedding')} where flashpoint_id is not null and len(embedding) > 0 and trim(raw_text) <> ''"
+
+
+@_query(f"select flashpoint_id, id, len(embedding) as n, raw_text as document from {_STORED}")
+def src19_collection_scan(spark, d):
+    return S.scan_collection(spark, _collections(spark, d)).select("flashpoint_id", "id", F.size("embedding").cast("long").alias("n"), "document")
+
+
+@_query(f"select distinct flashpoint_id from {_STORED} and flashpoint_id <> (select min(flashpoint_id) from {_STORED})")
+def src21_collections(spark, d):
+    """The collections that are left after the first one was deleted."""
+    path = _collections(spark, d)
+    first = S.list_collections(spark, path).agg(F.min("flashpoint_id").alias("f")).first().f
+    if first is not None:
+        S.delete_collection(spark, path, first)
+    return S.list_collections(spark, path)
+
+
+@_query("select name, n from (select 'flashpoints' as name, count(*) as n from flashpoints union all select 'clusters', count(*) from news_clusters)")
+def src10_written_together(spark, d):
+    """Row counts of two tables that were written all or none."""
+    at = {name: scratch(spark, name) for name in ("flashpoints", "clusters")}
+    counts = S.write_together({at["flashpoints"]: _t(spark, d, "flashpoints").select("id", "title"), at["clusters"]: _t(spark, d, "news_clusters").select("id", "summary")})
+    return spark.createDataFrame([(name, counts[path]) for name, path in at.items()], "name string, n long")
+
+
+@_query("select flashpoint_id, cluster_id, article_count from news_clusters")
+def src23_day_recreated(spark, d):
+    """A day's partition that was written, dropped, made anew and written once more."""
+    path, rows = scratch(spark, "days"), _t(spark, d, "news_clusters")
+    for day in ("2025-01-01", "2025-01-02"):
+        S.store_clusters(rows, path, day)
+    S.init_day(spark, path, "2025-01-02")
+    S.store_clusters(rows, path, "2025-01-02")
+    S.drop_day(spark, path, "2025-01-01")
+    return spark.read.parquet(path).select("flashpoint_id", "cluster_id", "article_count")
+
+
+@_query()
+def src12_main_text(spark, d):
+    page = F.concat(F.lit("<html><body><nav>menu</nav><div class='cookie-bar'>We keep cookies.</div><p>"), F.regexp_replace("text", "\n", "</p>\n<p>"), F.lit("</p><footer>end</footer></body></html>"))
+    return _t(spark, d, "documents").select("doc_id", H.main_text(page).alias("text"))
 
 
 # filters and projections
@@ -129,9 +197,19 @@ def f3_scraped(spark, d):
     return _feeds(spark, d, "raw_text").where(F.length("raw_text") > 0).select("id", F.col("raw_text").alias("processed_text"))
 
 
+def _re(pattern: str) -> str:
+    """A pattern for DuckDB, which knows no look-around: word edges are ASCII there, so texts are matched in their ``_plain`` form."""
+    return pattern.replace(X.BEFORE, r"\b").replace(X.AFTER, r"\b").replace("(?md)", "(?m)").replace("(?d)", "")
+
+
+def _plain(c: str) -> str:
+    """A text with letters and figures beyond ASCII as underscores, so that ASCII word edges lie where those of any script do."""
+    return rf"regexp_replace({c}, '[\p{{Lo}}\p{{Lm}}\p{{Nl}}\p{{No}}\p{{Cyrillic}}\p{{Greek}}\x{{C0}}-\x{{D6}}\x{{D8}}-\x{{F6}}\x{{F8}}-\x{{24F}}]', '_', 'g')"
+
+
 def _clean_sql(c: str) -> str:
     for pattern, by in X.CLEAN_STEPS:
-        c = f"regexp_replace({c}, '{pattern.replace('(?md)', '(?m)')}', '{by.replace('$1', chr(92) + '1')}', 'g')"
+        c = f"regexp_replace({c}, '{_re(pattern)}', '{by.replace('$1', chr(92) + '1')}', 'g')"
     return c
 
 
@@ -153,6 +231,14 @@ def f9_metadata_defaults(spark, d):
     return f.select("id", "url", TP.or_unknown(F.col("image")).alias("image"), "domain", "sourcecountry", TP.or_unknown(F.col("language")).alias("language"))
 
 
+@_query(f"select doc_id, length({_clean_sql('text')}) as n_chars from documents where length({_TRIMMED}) < 1000 and length({_clean_sql('text')}) >= 1500")
+def f6_sequential_fallback(spark, d):
+    """Texts that the primary rule drops and the fallback of the sequential path takes."""
+    trimmed = F.regexp_replace("text", r"^[ \t\r\f\x0B\n]+|[ \t\r\f\x0B\n]+$", "")
+    r = _t(spark, d, "documents").where(F.length(trimmed) < 1000).select("doc_id", F.length(X.clean(F.col("text"))).cast("long").alias("n_chars"))
+    return r.where("n_chars >= 1500")
+
+
 # joins
 
 
@@ -268,30 +354,39 @@ def t13_redundancy(spark, d):
 
 
 _SCORES = f"""top as (select doc_id, i, max(v) as top from v group by 1, 2),
-    sc as (select x.doc_id, x.i, x.n, x.s, regexp_matches(x.s, '{X.DATES}') as forced,
+    sc as (select x.doc_id, x.i, x.n, x.s, regexp_matches({_plain('x.s')}, '{_re(X.DATES)}') as forced,
         0.75::double * coalesce(top, 0) + 0.1::double / sqrt(greatest(len(string_split(x.s, ' ')), 1)) + 0.1::double * regexp_matches(x.s, '[0-9]')::int
-        + 0.05::double * (case when x.n > 1 then 1 - 0.15::double * x.i / (x.n - 1) else 1.0::double end) + 0.25::double * regexp_matches(x.s, '{X.DATES}')::int as score
+        + 0.05::double * (case when x.n > 1 then 1 - 0.15::double * x.i / (x.n - 1) else 1.0::double end) + 0.25::double * regexp_matches({_plain('x.s')}, '{_re(X.DATES)}')::int as score
         from {_SENTENCES} x left join top using (doc_id, i))"""
 
 
 @_query(f"""with {_weights_sql('0.9')}, {_SCORES} select doc_id, i::integer as i, forced from (
     select *, row_number() over (partition by doc_id order by round(score, 9) desc, i desc) as rank from sc) where rank <= greatest(1, floor(n * 0.3::double)) or forced""")
 def w2_topk_sentences(spark, d):
-    return Z.top_k(Z.scores(Z.sentence_rows(_t(spark, d, "documents"))), F.lit(0.3)).select("doc_id", "i", "forced")
+    r = Z.scored(_t(spark, d, "documents"))
+    kept = r.select("doc_id", "forced", F.explode(Z.top_k(F.col("score"), F.col("forced"), F.lit(0.3))).alias("i"))
+    return kept.select("doc_id", "i", F.element_at("forced", F.col("i") + 1).alias("forced"))
 
 
 @_query(f"""select doc_id, count(*) as n_kept, max(spent)::bigint as spent from (
     select doc_id, i, sum(length(s)) over (partition by doc_id order by i rows unbounded preceding) as spent from {_SENTENCES}) where spent <= 1000 group by 1""")
 def w4_budget_prefix(spark, d):
-    r = Z.within_budget(Z.sentence_rows(_t(spark, d, "documents")), F.length("sentence").cast("long"), 1000)
-    return r.groupBy("doc_id").agg(F.count("*").alias("n_kept"), F.max("spent").alias("spent"))
+    s = _t(spark, d, "documents").select("doc_id", F.transform(X.sentences(F.col("text")), F.length).alias("c"))
+    n = s.withColumn("n", Z.within_budget(F.col("c"), F.lit(1000))).where("n > 0")
+    return n.select("doc_id", F.col("n").cast("long").alias("n_kept"), F.aggregate(F.slice("c", F.lit(1), F.col("n")), F.lit(0).cast("long"), lambda a, x: a + x).alias("spent"))
 
 
 @_query(f"""with {_weights_sql('0.9')}, {_SCORES}, m as (select *, max(score) over (partition by doc_id) as best from sc)
     select doc_id, count(*) as n_kept from m where round(score, 9) >= round(0.2::double * best, 9) group by 1""")
 def f13_score_threshold(spark, d):
-    s = Z.scores(Z.sentence_rows(_t(spark, d, "documents"))).withColumn("best", F.max("score").over(Window.partitionBy("doc_id")))
-    return s.where(F.round("score", 9) >= F.round(0.2 * F.col("best"), 9)).groupBy("doc_id").agg(F.count("*").alias("n_kept"))
+    return Z.scored(_t(spark, d, "documents")).select("doc_id", F.size(Z.above(F.col("score"), 0.2)).cast("long").alias("n_kept"))
+
+
+@_query(f"""with {_weights_sql('0.9')}, {_SCORES} select doc_id, i::integer as i, round((score - low) / (high - low + 0.000000001::double), 6) as scaled from (
+    select *, min(score) over (partition by doc_id) as low, max(score) over (partition by doc_id) as high from sc)""")
+def w6_min_max(spark, d):
+    r = Z.scored(_t(spark, d, "documents")).select("doc_id", F.posexplode(Z.min_max(F.col("score"))).alias("i", "scaled"))
+    return r.select("doc_id", "i", F.round("scaled", 6).alias("scaled"))
 
 
 @_query()
@@ -299,14 +394,20 @@ def t14_compress(spark, d):
     return Z.compress(_t(spark, d, "documents"))
 
 
-@_query(rf"""with n as (select doc_id, lower(name) as name, count(*) as n, min(pos) as pos from (
-        select doc_id, unnest(regexp_extract_all(text, '{X.CAPITALISED}')) as name, generate_subscripts(regexp_extract_all(text, '{X.CAPITALISED}'), 1) as pos from documents) group by 1, 2)
-    select doc_id, string_agg(name, '|' order by n desc, pos) as must_keep from (select *, row_number() over (partition by doc_id order by n desc, pos) as r from n) where r <= 15 group by 1""".replace("'-]", "''-]"))
+def _firsts(pattern: str, name: str, most: int) -> str:
+    """The first spellings, at most so many, of the matches of a pattern in each document: (doc_id, v, k) with the place k."""
+    return rf"""{name}_all as (select doc_id, unnest(regexp_extract_all({_plain('text')}, '{_re(pattern)}')) as v, generate_subscripts(regexp_extract_all({_plain('text')}, '{_re(pattern)}'), 1) as pos from documents),
+    {name} as (select doc_id, v, row_number() over (partition by doc_id order by pos) as k from (
+        select *, row_number() over (partition by doc_id, lower(v) order by pos) as r from {name}_all) where r = 1 qualify k <= {most})"""
+
+
+@_query(f"""with {_firsts(X.CAPITALISED, 'names', 50)}, {_firsts(X.DATES, 'dates', 50)}, both_ as (
+        select doc_id, lower(v) as v, k from names union all select doc_id, lower(v), 100 + k from dates where k <= 5),
+    once as (select doc_id, v, min(k) as k from both_ group by 1, 2)
+    select doc_id, string_agg(v, '|' order by k) as must_keep from (select *, row_number() over (partition by doc_id order by k) as r from once) where r <= 15 group by 1""")
 def a12_must_keep(spark, d):
-    names = _t(spark, d, "documents").select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(X.CAPITALISED), 1)).alias("pos", "name"))
-    n = names.groupBy("doc_id", F.lower("name").alias("name")).agg(F.count("*").alias("n"), F.min("pos").alias("pos"))
-    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "pos", "name"))), 1, 15)
-    return n.groupBy("doc_id").agg(F.array_join(F.transform(top, lambda x: x["name"]), "|").alias("must_keep"))
+    m = _t(spark, d, "documents").select("doc_id", X.must_keep(X.entities(F.col("text"))).alias("m")).where(F.size("m") > 0)
+    return m.select("doc_id", F.array_join("m", "|").alias("must_keep"))
 
 
 @_query(f"""select doc_id, round(len(list_distinct(b)) / len(b), 6) as ratio from (
@@ -315,26 +416,23 @@ def a13_bigram_ratio(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.round(X.unique_bigram_ratio(F.col("text")), 6).alias("ratio")).where("ratio is not null")
 
 
-_TOPICS = {"economy": ("bank", "tariff", "budget", "price"), "security": ("border", "army", "prison", "ceasefire"), "health": ("vaccine", "hospital", "health"), "transport": ("airline", "ferry", "railway", "port")}
-_HITS = {k: " + ".join(f"(contains(lower(text), '{w}'))::int" for w in ws) for k, ws in _TOPICS.items()}
+_HITS = {k: " + ".join(f"(contains(lower(text), '{w}'))::int" for w in ws) for k, ws in N.DOMAINS.items()}
 _BEST = "greatest(" + ", ".join(_HITS.values()) + ")"
+_DOMAIN = f"case when {_BEST} = 0 then 'world' " + " ".join(f"when {h} = {_BEST} then '{k}'" for k, h in _HITS.items()) + " end"
 
 
-@_query(f"select doc_id, case when {_BEST} = 0 then 'world' " + " ".join(f"when {h} = {_BEST} then '{k}'" for k, h in _HITS.items()) + " end as domain from documents where text is not null")
+@_query(f"select doc_id, {_DOMAIN} as domain from documents where text is not null")
 def a14_domain_argmax(spark, d):
-    hits = {k: sum((F.lower("text").contains(w).cast("int") for w in ws[1:]), F.lower("text").contains(ws[0]).cast("int")) for k, ws in _TOPICS.items()}
-    best = F.greatest(*hits.values())
-    label = F.when(best == 0, "world")
-    for k, h in hits.items():
-        label = label.when(h == best, k)
-    return _t(spark, d, "documents").where("text is not null").select("doc_id", label.alias("domain"))
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", N.domain(F.col("text")).alias("domain"))
 
 
 # metrics
 
 
-@_query("""select event_type, count(*) as requests, sum((event_type = 'error')::bigint)::bigint as errors, round(sum((event_type = 'error')::int) / count(*), 6) as error_rate,
-    round(avg(value), 6) as mean_value, round(count(*) / greatest(date_diff('second', min(ts), max(ts)) - (case when (max(ts) - min(ts)) < to_seconds(date_diff('second', min(ts), max(ts))) then 1 else 0 end), 1), 6) as per_second from events group by 1""")
+@_query("""with g as (select event_type, count(*) as requests, count(distinct user_id) as batches, sum((event_type = 'error')::bigint)::bigint as errors, sum(value) as v,
+        greatest(floor(epoch(max(ts) - min(ts)))::bigint, 1) as seconds from events group by 1)
+    select event_type, requests, errors, batches, round(errors / requests, 6) as error_rate, round(v / requests, 6) as mean_value, round(v / batches, 6) as mean_batch,
+        round(requests / seconds, 6) as per_second, round(batches / seconds, 6) as batches_per_second, round(least(1.0::double, requests / seconds / (batches * 10)), 6) as batch_efficiency from g""")
 def a15_rates(spark, d):
     return M.rates(_t(spark, d, "events"), "event_type")
 
@@ -368,24 +466,31 @@ def w7_rolling_1000(spark, d):
     return M.rolling(_t(spark, d, "events"), "user_id").select("event_id", F.round("rolling_mean", 6).alias("rolling_mean"), "rolling_n")
 
 
-@_query("""select event_id, round(t, 6) as trend from (select event_id, (value - lag(value, 9) over w) / greatest(lag(value, 9) over w, 1) as t, row_number() over w as r from events
-    window w as (partition by user_id order by ts, event_id)) where r >= 10""")
+@_query("""select event_id, round((value - f) / greatest(f, 1), 6) as trend, round((value - f) / greatest(f, 0.001::double), 6) as share_trend, round(case when value <> 0 and f <> 0 then value - f else 0 end, 6) as plain_trend
+    from (select *, lag(value, 9) over w as f, row_number() over w as r from events window w as (partition by user_id order by ts, event_id)) where r >= 10""")
 def w8_trend10(spark, d):
-    return M.trend(_t(spark, d, "events"), "user_id").where("trend is not null").select("event_id", F.round("trend", 6).alias("trend"))
+    t = M.trend(_t(spark, d, "events"), "user_id")
+    t = M.trend(M.trend(t, "user_id", floor=M.SHARE_FLOOR, name="share_trend"), "user_id", floor=None, name="plain_trend").where("trend is not null")
+    return t.select("event_id", F.round("trend", 6).alias("trend"), F.round("share_trend", 6).alias("share_trend"), F.round("plain_trend", 6).alias("plain_trend"))
 
 
 # duplicates and ids
 
 
-@_query(rf"""with n as (select doc_id, name, pos, row_number() over (partition by doc_id, lower(name) order by pos) as r from (
-        select doc_id, unnest(regexp_extract_all(text, '{X.CAPITALISED}')) as name, generate_subscripts(regexp_extract_all(text, '{X.CAPITALISED}'), 1) as pos from documents)),
-    m as (select doc_id, name, pos, row_number() over (partition by doc_id order by pos) as k from n where r = 1)
-    select doc_id, string_agg(name, '|' order by pos) as names from m where k <= 50 group by 1""".replace("'-]", "''-]"))
+@_query(f"with {_firsts(X.CAPITALISED, 'names', 50)} select doc_id, string_agg(v, '|' order by k) as names from names group by 1")
 def d4_ci_dedup(spark, d):
     e = _t(spark, d, "documents").select("doc_id", X.entities(F.col("text"))["names"].alias("names"))
     return e.where(F.size("names") > 0).select("doc_id", F.array_join("names", "|").alias("names"))
 
 
+@_query(f"""with {_firsts(X.CAPITALISED, 'names', 50)}, {_firsts(X.DATES, 'dates', 50)}, {_firsts(X.NUMBERS, 'numbers', 50)}
+    select doc_id, (select count(*) from names x where x.doc_id = d.doc_id) as n_names, (select count(*) from dates x where x.doc_id = d.doc_id) as n_dates,
+        (select count(*) from numbers x where x.doc_id = d.doc_id) as n_numbers, (select string_agg(v, '|' order by k) from dates x where x.doc_id = d.doc_id) as dates from documents d where text is not null""")
+def t19_entities(spark, d):
+    e = _t(spark, d, "documents").where("text is not null").select("doc_id", X.entities(F.col("text")).alias("e"))
+    return e.select("doc_id", *[F.size(f"e.{c}").cast("long").alias(f"n_{c}") for c in ("names", "dates", "numbers")], F.when(F.size("e.dates") > 0, F.array_join("e.dates", "|")).alias("dates"))
+
+
 @_query(r"""select doc_id, string_agg(line, chr(10) order by pos) as text from (select doc_id, line, min(pos) as pos from (
         select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents) group by 1, 2) group by 1""")
 def d5_line_dedup(spark, d):
@@ -422,11 +527,10 @@ def t4_nfkc(spark, d):
     return _t(spark, d, "documents").select("doc_id", H.nfkc(F.col("text")).alias("text"))
 
 
-@_query(rf"""select doc_id, coalesce(string_agg(s, ' ' order by i), '') as summary from (select doc_id, unnest(ss[1:4]) as s, generate_subscripts(ss[1:4], 1) as i from (
-        select doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(trim(regexp_replace(text, '[ \t\r\f\x0B\n]+', ' ', 'g')), '^["''“”«»–—-]+ *', ''), '([{X.TERMINATORS}])[ \t\r\n]+', '\1' || chr(1), 'g'), chr(1)),
-            lambda x: trim(regexp_replace(x, '[ \t\r\f\x0B\n]+', ' ', 'g'))), lambda x: x <> '') as ss from documents where text is not null)) group by 1""")
+@_query(r"""select doc_id, array_to_string(string_split(regexp_replace(regexp_replace(trim(regexp_replace(text, '[ \t\r\f\x0B\n]+', ' ', 'g')), '^["''–—-] *', ''), '([.!?]) +', '\1' || chr(1), 'g'), chr(1))[1:4], ' ') as summary
+    from documents where text is not null""")
 def t7_first4_sentences(spark, d):
-    return _t(spark, d, "documents").where("text is not null").select("doc_id", X.first_sentences(F.col("text")).alias("summary")).where("summary <> ''")
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", X.first_sentences(F.col("text")).alias("summary"))
 
 
 @_query()
@@ -468,8 +572,7 @@ def t30_router(spark, d):
     return K.route(_t(spark, d, "documents"), ["source"], ["doc_id"], "text").select("doc_id", "source", "route")
 
 
-@_query(f"""select id, coalesce(try_strptime(trim(seendate), '%Y-%m-%dT%H:%M:%S'), try_strptime(trim(seendate), '%Y-%m-%d %H:%M:%S'), try_strptime(trim(seendate), '%Y%m%dT%H%M%SZ'),
-    try_strptime(trim(seendate), '%Y-%m-%dT%H:%M:%SZ'), try_strptime(trim(seendate), '%Y-%m-%d'), try_strptime(trim(seendate), '%d/%m/%Y'))::date as day from {_once('seendate')}""")
+@_query(f"select id, {_TIME}::date as day from {_once('seendate')}")
 def t38_dates(spark, d):
     return _feeds(spark, d, "seendate").select("id", X.parse_time(F.col("seendate")).cast("date").alias("day"))
 
@@ -526,11 +629,6 @@ def src6_valid_rows(spark, d):
     return S.valid(_feeds(spark, d, "flashpoint_id", "url", "title"), "feed").select("id")
 
 
-@_query(f"select flashpoint_id, count(*) as n from {_once('flashpoint_id', 'embedding')} where len(embedding) > 0 group by 1")
-def src21_collections(spark, d):
-    return _feeds(spark, d, "flashpoint_id", "embedding").where(F.size("embedding") > 0).groupBy("flashpoint_id").agg(F.count("*").alias("n"))
-
-
 @_query(f"select id, created_at from {_once('created_at')} order by created_at, id limit 50 offset 10")
 def o2_page(spark, d):
     return _feeds(spark, d, "created_at").orderBy("created_at", "id").offset(10).limit(50)
@@ -571,54 +669,200 @@ def a8_cluster_text(spark, d):
     return A.ordered_concat(f, ["flashpoint_id"], ["created_at", "id"], "text", " -- ")
 
 
+@_query("select code, name from (select lower(name_en) as code, code3 as name from language_names union all select code, upper(name_en) from language_names)")
+def d2_map_merge(spark, d):
+    """Two maps merged, the right one winning: code -> English name by code -> upper case, beside English name -> three-letter code."""
+    n = _t(spark, d, "language_names")
+    left = F.map_from_arrays(F.array("code", F.lower("name_en")), F.array("name_en", "code3"))
+    right = F.create_map("code", F.upper("name_en"))
+    return n.select(F.explode(TP.merged_map(left, right)).alias("code", "name"))
+
+
+@_query("select distinct domain from (select unnest(domains) as domain from flashpoints) where domain is not null")
+def d3_distinct_values(spark, d):
+    return _t(spark, d, "flashpoints").select(F.explode("domains").alias("domain")).where("domain is not null").dropDuplicates(["domain"])
+
+
+@_query("select string_agg(code || '=' || name_en, ',' order by code) as names from language_names")
+def o9_sorted_map(spark, d):
+    """The map of languages in the order of its keys; a fixed table of a few rows."""
+    entries = F.array_sort(F.collect_list(F.struct("code", "name_en")))
+    return _t(spark, d, "language_names").agg(F.array_join(F.transform(entries, lambda x: F.concat(x["code"], F.lit("="), x["name_en"])), ",").alias("names"))
+
+
+@_query(f"select id, ((row_number() over (partition by flashpoint_id order by created_at, id) - 1) // 48)::integer as batch from {_once('flashpoint_id', 'created_at')} where flashpoint_id is not null")
+def o7_fixed_batches(spark, d):
+    """Batches of 48 feeds of a topic in order."""
+    w = Window.partitionBy("flashpoint_id").orderBy("created_at", "id")
+    f = _feeds(spark, d, "flashpoint_id", "created_at").where("flashpoint_id is not null")
+    return f.select("id", F.floor((F.row_number().over(w) - 1) / 48).cast("int").alias("batch"))
+
+
+@_query(f"select count(*) as n, count(*) as n_valid from {_once()}")
+def t42_random_ids(spark, d):
+    """Random ids of version 4: how many rows have one of the form."""
+    ids = _feeds(spark, d).select(F.uuid().alias("u"))
+    form = F.col("u").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    return ids.agg(F.count("*").alias("n"), F.sum(form.cast("long")).alias("n_valid"))
+
+
+@_query("""select label % 3 as part, sum((label = -1)::bigint)::bigint as n_noise, count(distinct label) filter (label <> -1) as n_clusters, count(distinct label) filter (label <> -1) = 0 as fallback
+    from (select case when vec_id % 7 = 0 then -1 else label end as label from embeddings) group by 1""")
+def a18_noise_counts(spark, d):
+    e = _t(spark, d, "embeddings").select(F.when(F.col("vec_id") % 7 == 0, -1).otherwise(F.col("label")).alias("label"))
+    return C.noise_counts(e.withColumn("part", F.col("label") % 3), "part")
+
+
+@_query()
+def t9_chunks(spark, d):
+    c = _t(spark, d, "documents").select("doc_id", X.chunk_text(F.col("text"), F.lower("lang"), 500).alias("c"))
+    return c.select("doc_id", F.posexplode_outer("c").alias("i", "chunk"))
+
+
+@_query()
+def t12_language_sentences(spark, d):
+    s = _t(spark, d, "documents").select("doc_id", X.sentences_in(F.col("text"), F.lower("lang")).alias("s"))
+    return s.select("doc_id", F.posexplode("s").alias("i", "sentence"))
+
+
+@_query(r"""select id, array_to_string(list_transform(entities, lambda x: trim(regexp_replace(x, '[ \t\r\f\x0B\n]+', ' ', 'g'))), '|') as entities, trim(regexp_replace(title, '[ \t\r\f\x0B\n]+', ' ', 'g')) as title from flashpoints""")
+def t5_nested_squeeze(spark, d):
+    p = _t(spark, d, "flashpoints").select("id", F.struct("title", "entities").alias("r"))
+    r = p.select("id", X.squeeze_nested(F.col("r"), p.schema["r"].dataType).alias("r"))
+    return r.select("id", F.array_join("r.entities", "|").alias("entities"), "r.title")
+
+
+@_query()
+def t27_translate(spark, d):
+    from . import plugins
+
+    return _t(spark, d, "documents").select("doc_id", plugins.translated(F.col("text"), "default", "default").alias("text"))
+
+
+@_query()
+def t29_translate_remotely(spark, d):
+    from . import plugins
+
+    return _t(spark, d, "documents").select("doc_id", plugins.translated_remotely(F.col("text"), wait=0.0).alias("text"))
+
+
+@_query()
+def t31_summaries(spark, d):
+    from . import pipeline
+
+    return pipeline.summaries(_t(spark, d, "documents"), "doc_id", "text")
+
+
+@_query()
+def t34_cluster_summaries(spark, d):
+    """Summaries of the documents of each source from all of them."""
+    from . import pipeline
+
+    docs = _t(spark, d, "documents").where("source is not null")
+    return pipeline.cluster_summaries(docs.select("source", "doc_id", "text", F.lower("lang").alias("domain")), ["source"], ["doc_id"], "text")
+
+
+@_query(f"""select doc_id, {_DOMAIN} as domain, sha1(lower(s)) as signature, s as summary from (select doc_id, text, array_to_string(string_split(regexp_replace(regexp_replace(trim(regexp_replace(title, '[ \t\r\f\x0B\n]+', ' ', 'g')), '^["''–—-] *', ''), '([.!?]) +', '\1' || chr(1), 'g'), chr(1))[1:4], ' ') as s
+    from (select doc_id, title, title as text from documents where title is not null))""")
+def t35_finalised(spark, d):
+    """Finaliser of a short text: cleaned after the model, with its meta and signature."""
+    r = _t(spark, d, "documents").where("title is not null").select("doc_id", "title", X.first_sentences(F.col("title")).alias("summary"))
+    return r.select("doc_id", N.domain(F.col("title")).alias("domain"), X.signature(F.col("summary")).alias("signature"), "summary")
+
+
+@_query()
+def c5_reduced(spark, d):
+    return C.reduced(_t(spark, d, "embeddings"), 20, "vec_id")
+
+
+@_query()
+def c6_soft(spark, d):
+    return C.soft_topics(_t(spark, d, "embeddings").withColumnRenamed("label", "topic"), key="vec_id")
+
+
 # more text
 
 
-@_query(rf"""select doc_id, coalesce(string_agg(line, chr(10) order by pos), '') as text from (select doc_id, line, min(pos) as pos from (
-        select doc_id, trim(regexp_replace(line, '[ \t\r\f\x0B\n]+', ' ', 'g')) as line, pos from (
-            select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as pos from (
-                select doc_id, string_split(regexp_replace(text, '(?i)\b(?:cookie policy|privacy policy|advertisement|subscribe now|sign in to|all rights reserved)\b[^\n]*', '', 'g'), chr(10)) as ls from documents where text is not null)))
-    where line <> '' group by 1, 2) group by 1""")
+def _without_notices(c: str) -> str:
+    for pattern in X.NOTICES:
+        c = f"regexp_replace({c}, '{pattern}', '', 'g')"
+    return c
+
+
+@_query(rf"""with l as (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as pos from (select doc_id, string_split({_without_notices('text')}, chr(10)) as ls from documents where text is not null)),
+    once as (select doc_id, line, min(pos) as pos from (select doc_id, regexp_replace(line, '^[ \t\r\f\x0B]+|[ \t\r\f\x0B]+$', '', 'g') as line, pos from l) where line <> '' group by 1, 2)
+    select d.doc_id, coalesce(regexp_replace(string_agg(line, chr(10) order by pos), '[ \t]+', ' ', 'g'), '') as text from (select doc_id from documents where text is not null) d left join once using (doc_id) group by 1""")
 def t6_pre_clean(spark, d):
-    return _t(spark, d, "documents").where("text is not null").select("doc_id", X.pre_clean(F.col("text")).alias("text")).where("text <> ''")
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", X.pre_clean(F.col("text")).alias("text"))
 
 
-@_query(rf"""select doc_id, coalesce(len(regexp_extract_all(text, '([\p{{L}}\p{{N}}_\p{{M}}]+|[^\p{{L}}\p{{N}}_\p{{M}}\s])')), 0) as tokens,
-    coalesce(len(regexp_extract_all(text, '([\p{{L}}\p{{N}}_\p{{M}}]+|[^\p{{L}}\p{{N}}_\p{{M}}\s])')), 0) <= 512 as fits from documents where text is not null and not regexp_matches(text, '\x0B')""")
+@_query(rf"""select doc_id, coalesce(len(regexp_extract_all(text, '{X.TOKEN}')), 0) as tokens, coalesce(len(regexp_extract_all(text, '{X.TOKEN}')), 0) <= 512 as fits from documents where text is not null""")
 def t18_token_fit(spark, d):
     n = X.token_count(F.col("text")).cast("long")
-    return _t(spark, d, "documents").where("text is not null and not text rlike '\\x0B'").select("doc_id", n.alias("tokens"), (n <= 512).alias("fits"))
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", n.alias("tokens"), (n <= 512).alias("fits"))
 
 
 @_query(f"""with {_weights_sql()}, rs as (select doc_id, i, sum(v) as total from v group by 1, 2),
     sc as (select x.doc_id, x.i, x.n, coalesce(total, 0) + 0.1::double * regexp_matches(x.s, '[0-9]')::int as score from {_SENTENCES} x left join rs using (doc_id, i))
     select doc_id, i::integer as i from (select *, row_number() over (partition by doc_id order by round(score, 9) desc, i desc) as rank from sc) where rank <= greatest(1, floor(n * 0.3::double))""")
 def t17_fraction(spark, d):
-    s = Z.sentence_rows(_t(spark, d, "documents"))
-    total = Z.weights(Z.terms(s)).groupBy("doc_id", "i").agg(F.sum("v").alias("total"))
-    score = F.coalesce("total", F.lit(0.0)) + 0.1 * F.col("sentence").rlike("[0-9]").cast("int")
-    scored = s.join(total, ["doc_id", "i"], "left").select("doc_id", "i", "n", score.alias("score"), F.lit(False).alias("forced"))
-    return Z.top_k(scored, F.lit(0.3)).select("doc_id", "i")
+    a = Z.analysed(_t(spark, d, "documents"))
+    score = F.zip_with("s", "total", lambda x, t: t + 0.1 * x.rlike("[0-9]").cast("int"))
+    a = a.select("doc_id", score.alias("score"), F.transform("s", lambda x: F.lit(False)).alias("none"))
+    return a.select("doc_id", F.explode(Z.top_k(F.col("score"), F.col("none"), F.lit(0.3))).alias("i"))
 
 
 @_query(f"""select doc_id, i::integer as i, round(case when n > 1 then 1 - 0.15::double * i / (n - 1) else 1.0::double end, 6) as weight from {_SENTENCES}""")
 def w5_position_weight(spark, d):
     s = Z.sentence_rows(_t(spark, d, "documents"))
-    return s.select("doc_id", "i", F.round(F.when(F.col("n") > 1, 1 - 0.15 * F.col("i") / (F.col("n") - 1)).otherwise(1.0), 6).alias("weight"))
+    return s.select("doc_id", "i", F.round(Z.place(F.col("i"), F.col("n")), 6).alias("weight"))
+
+
+_LOW = "lower(s)"
+_GATES = f"""with {_firsts(X.CAPITALISED, 'names', 50)}, {_firsts(X.DATES, 'dates', 50)}, {_firsts(X.NUMBERS, 'numbers', 50)}, both_ as (
+        select doc_id, lower(v) as v, k from names union all select doc_id, lower(v), 100 + k from dates where k <= 5),
+    once as (select doc_id, v, min(k) as k from both_ group by 1, 2),
+    must as (select doc_id, list(v order by k) as m from (select *, row_number() over (partition by doc_id order by k) as r from once) where r <= 15 group by 1),
+    src as (select doc_id, (select list(v order by k) from dates x where x.doc_id = d.doc_id) as ds, (select list(v order by k) from numbers x where x.doc_id = d.doc_id) as ns, title as s, coalesce(m, []) as m
+        from documents d left join must using (doc_id) where title is not null and text is not null),
+    g as (select doc_id, s, m, list_filter(m, lambda e: contains({_LOW}, e)) as present, list_filter(m, lambda e: not contains({_LOW}, e)) as missing,
+        regexp_matches({_plain('s')}, '{_re(X.DATES)}') as temporal, coalesce(len(ds), 0) > 0 as has_dates, ds, ns,
+        s || case when not regexp_matches({_plain('s')}, '{_re(X.DATES)}') and coalesce(len(ds), 0) > 0 then chr(10) || 'Timeline: ' || ds[1] || ' (source).' else '' end as s1 from src),
+    h as (select *, not regexp_matches(s1, '\\b[0-9]') and coalesce(len(ns), 0) > 0 as no_figures from g),
+    f as (select *, s1 || case when no_figures then chr(10) || 'Note: Source mentioned figures such as ' || array_to_string(ns[1:3], ', ') || '.' else '' end as s2 from h),
+    w as (select *, regexp_extract_all(lower(s2), '[\\p{{L}}\\p{{N}}_]+') as w from f),
+    b as (select *, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) as b from w)
+    select doc_id, len(present) >= greatest(1, len(m) // 2) as entity_coverage, case when len(present) >= greatest(1, len(m) // 2) then '' else array_to_string(missing[1:10], '|') end as missing,
+        temporal, not no_figures as numeric_ok, case when len(w) < 2 then true else len(list_distinct(b)) / len(b) >= 0.6::double end as redundancy_ok, s2 as summary from b"""
+
+
+@_query(_GATES.replace("\\\\", "\\"))
+def t21_quality_gates(spark, d):
+    """The gates of a title, as the summary, against the entities of its text."""
+    r = _t(spark, d, "documents").where("title is not null and text is not null").withColumn("e", X.entities(F.col("text")))
+    g = r.select("doc_id", N.quality_gates(F.col("title"), X.must_keep(F.col("e")), F.col("e")).alias("g"))
+    return g.select("doc_id", "g.entity_coverage", F.array_join("g.missing", "|").alias("missing"), "g.temporal", "g.numeric_ok", "g.redundancy_ok", "g.summary")
 
 
-@_query(f"""select doc_id, regexp_matches(title || ' ' || coalesce(text, ''), '{X.DATES}') as has_date, regexp_matches(title || ' ' || coalesce(text, ''), '[0-9]') as has_number from documents where title is not null""")
-def t21_quality_gates(spark, d):
-    t = F.concat_ws(" ", "title", "text")
-    return _t(spark, d, "documents").where("title is not null").select("doc_id", t.rlike(X.DATES).alias("has_date"), t.rlike("[0-9]").alias("has_number"))
+def _distinct_sql(pattern: str, c: str, most: int) -> str:
+    found = f"regexp_extract_all({_plain(c)}, '{_re(pattern)}')"
+    return f"array_to_string(list_filter({found}, lambda x, i: list_position({found}, x) = i)[1:{most}], '|')"
 
 
-@_query()
-def t24_meta(spark, d):
-    """Heuristic meta of a document, normalised: lower-case domain, at most 6 topics and 10 names."""
-    e = X.entities(F.col("text"), 10)
-    topics = F.slice(F.array_distinct(F.filter(X.words(F.col("text")), lambda w: F.length(w) >= 4)), 1, 6)
-    return _t(spark, d, "documents").where("text is not null").select("doc_id", F.lower(F.coalesce("source", F.lit("world"))).alias("domain"), topics.alias("topics"), e.alias("entities"))
+@_query(f"""select doc_id, {_DOMAIN} as domain, {_DOMAIN} = 'politics' as politics, {_distinct_sql(N.TOPIC, 'lower(text)', 6)} as topics,
+    {_distinct_sql(N.PEOPLE, 'text', 10)} as people, {_distinct_sql(N.ORGS, 'text', 10)} as orgs, {_distinct_sql(N.PLACES, 'text', 10)} as places from documents where text is not null""")
+def t22_heuristic_meta(spark, d):
+    m = _t(spark, d, "documents").where("text is not null").select("doc_id", N.heuristic_meta(F.col("text")).alias("m"))
+    return m.select("doc_id", "m.domain", F.col("m.is_politics_central").alias("politics"), *[F.array_join(f"m.{c}", "|").alias(c.split(".")[-1]) for c in ("topics", "entities.people", "entities.orgs", "entities.places")])
+
+
+@_query("""select doc_id, lower(coalesce(nullif(source, ''), 'world')) as domain, array_to_string(list_filter(list_transform(string_split(coalesce(title, ''), ','), lambda x: trim(x)), lambda x: x <> '')[1:6], '|') as topics,
+    nullif(lang, '') as country from documents""")
+def t24_normalised_meta(spark, d):
+    raw = F.struct(F.col("source").alias("domain"), F.col("title").alias("topics"), F.struct(F.array("source").alias("people")).alias("entities"), F.struct(F.col("lang").alias("country")).alias("geo"))
+    docs = _t(spark, d, "documents")
+    m = docs.select("doc_id", N.normalised_meta(F.to_json(raw)).alias("m"))
+    return m.select("doc_id", "m.domain", F.array_join("m.topics", "|").alias("topics"), F.col("m.geo.country").alias("country"))
 
 
 @_query()

@@ -9,6 +9,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from typing import Any, Protocol
 
@@ -16,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+
 
 class Plugin(Protocol):
     name: str
@@ -41,8 +46,21 @@ def get(kind: str, name: str = "default") -> Plugin:
         raise KeyError(f"no {kind} plug-in named {name}") from None
 
 
-def call(p: Plugin, c: Column, returns: str) -> Column:
-    """Column of a plug-in's results; the model is loaded once per worker and task stream."""
+def call(p: Plugin, c: Column, returns: str, tries: int = 1, wait: float = 0.0) -> Column:
+    """Column of a plug-in's results; the model is loaded once per worker and task stream.
+
+    A batch that fails is done row by row; a row is tried ``tries`` times, ``wait`` seconds apart, and is null
+    where all fail.
+    """
+
+    def one(model: Any, v: Any) -> Any:
+        for n in range(tries):
+            try:
+                return p.apply(model, pd.Series([v])).iloc[0]
+            except Exception:
+                if wait and n + 1 < tries:
+                    time.sleep(wait)
+        return None
 
     @F.pandas_udf(returns)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -51,17 +69,109 @@ def call(p: Plugin, c: Column, returns: str) -> Column:
             try:
                 yield p.apply(model, s)
             except Exception:  # one bad row must not lose its batch
-                out = []
-                for v in s:
-                    try:
-                        out.append(p.apply(model, pd.Series([v])).iloc[0])
-                    except Exception:
-                        out.append(None)
-                yield pd.Series(out)
+                yield pd.Series([one(model, v) for v in s])
 
     return run(c)
 
 
+def translated(c: Column, first: str = "default", second: str | None = None) -> Column:
+    """A chunk through the first translator, where that fails through the second, else ''."""
+    out = [call(get("translate", first), c, "string")]
+    if second is not None:
+        out.append(call(get("translate", second), c, "string"))
+    return F.coalesce(*out, F.lit(""))
+
+
+def translated_remotely(c: Column, name: str = "default", most: int = 4000, tries: int = 3, wait: float = 2.0) -> Column:
+    """A text through a remote translator in normalised chunks of at most ``most`` characters; a chunk that fails every try stays as it is.
+
+    The chunks are parted by a blank line; null for null.
+    """
+    p = get("translate", name)
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = p.load()
+
+        def chunk(x: str) -> str:
+            x = unicodedata.normalize("NFKC", x).strip()
+            for n in range(tries):
+                try:
+                    return p.apply(model, pd.Series([x])).iloc[0]
+                except Exception:
+                    if wait and n + 1 < tries:
+                        time.sleep(wait)
+            return x
+
+        for s in batches:
+            yield s.map(lambda parts: None if parts is None else "\n\n".join(chunk(x) for x in parts))
+
+    return run(X.smart_split(c, most))
+
+
+#: Tokens of a final summary at most, and the share of them that the parts of a cluster may use together (fixed values).
+FINAL, PARTS_SHARE = 700, 0.35
+
+
+def final_tokens(decoder: int) -> int:
+    """Tokens of a final summary: as many as stated, at most what the decoder holds."""
+    return min(FINAL, decoder)
+
+
+def part_tokens(parts: int, final: int) -> int:
+    """Tokens of the summary of each of a number of parts: its share of the final length, 60 to 220; 120 without parts."""
+    return 120 if parts <= 0 else max(60, min(220, int(final * PARTS_SHARE) // parts))
+
+
+def merge_tokens(total: int) -> tuple[int, int]:
+    """Least and most tokens of a merged summary, by the tokens of what is merged."""
+    return (500, 600) if total > 1000 else (200, 400)
+
+
+def room(capacity: int, header: int, short_header: int) -> tuple[int, bool]:
+    """Tokens left for sources beside a header, and whether the short header is taken: it is where the long one leaves less than 64."""
+    left = capacity - header
+    return (left, False) if left >= 64 else (max(64, capacity - short_header), True)
+
+
+class Extract:
+    """Extractive summariser: the sentences with the most weight for each word, in order, up to a number of tokens.
+
+    A sentence weighs the logarithms of how often its words are in the text, over the root of its words. The first
+    sentence taken may be longer than the number; null for null, '' for a text without sentences.
+    """
+
+    kind = "summarise"
+
+    def __init__(self, name: str = "default", tokens: int = 400) -> None:
+        self.name, self.tokens = name, tokens
+        self.end, self.word, self.token = re.compile(r"(?<=[.!?।؟。！？])\s+"), re.compile(r"\w\w+"), re.compile(r"\w+|[^\w\s]")
+
+    def load(self) -> None:
+        return None
+
+    def _one(self, text: str | None) -> str | None:
+        if text is None:
+            return None
+        parts = [x for x in (y.strip() for y in self.end.split(text)) if x]
+        words = [[w.lower() for w in self.word.findall(x)] for x in parts]
+        counts = Counter(w for ws in words for w in ws)
+        weight = [sum(math.log(counts[w]) for w in set(ws)) / math.sqrt(len(ws)) if ws else 0.0 for ws in words]
+        kept, used = [], 0
+        for i in sorted(range(len(parts)), key=lambda i: (-round(weight[i], 9), i)):
+            n = len(self.token.findall(parts[i]))
+            if kept and used + n > self.tokens:
+                continue
+            kept.append(i)
+            used += n
+            if used >= self.tokens:
+                break
+        return " ".join(parts[i] for i in sorted(kept))
+
+    def apply(self, model: None, values: pd.Series) -> pd.Series:
+        return values.map(self._one)
+
+
 class Identity:
     """Stand-in translator: returns the text; null for null."""
 
@@ -102,4 +212,6 @@ class HashedEmbedding:
 
 
 register(Identity())
+register(Extract())
+register(Extract("merge", merge_tokens(0)[1]))
 register(HashedEmbedding())

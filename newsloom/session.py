@@ -44,14 +44,29 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage by a checkpoint in the shared folder of the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder of the session, ``spark.checkpoint.dir``; a local one is made only on a local master where that is unset.
 
-    The folder is ``spark.checkpoint.dir`` where the session names one; a folder of its own is made only
-    where the setting is absent, as in local tests.
+    On a cluster executors could not read each other's local disks, so there a missing setting is an error.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        at = sc.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/newsloom-{uuid.uuid4().hex}"
-        sc.setCheckpointDir(at)
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isEmpty():
+        return sc._jsc.sc().getCheckpointDir().get()
+    at = sc.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        at = f"file://{tempfile.gettempdir()}/newsloom-{uuid.uuid4().hex}"
+    sc.setCheckpointDir(at)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage by a checkpoint in the shared folder of the cluster."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,10 +34,14 @@ def valid(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def by_ids(rows: DataFrame, ids: Sequence[str] | DataFrame, key: str = "id", inline: int = 1000) -> DataFrame:
-    """Rows of the given ids after canonicalising: a filter for short lists, a semi join for frames and long lists."""
+    """Rows of the given ids after canonicalising: a filter for short lists, a semi join for frames and long lists.
+
+    An id in a list that is no UUID raises ValueError; in a frame it matches nothing.
+    """
     if not isinstance(ids, DataFrame):
+        ids = [str(uuid.UUID(i.strip())) for i in ids]
         if len(ids) <= inline:
-            return rows.where(canonical_id(F.col(key)).isin([i.strip().lower() for i in ids]))
+            return rows.where(canonical_id(F.col(key)).isin(ids))
         ids = rows.sparkSession.createDataFrame([(i,) for i in ids], "id string")
     wanted = ids.select(canonical_id(F.col("id")).alias("_id")).where("_id is not null")
     return rows.join(wanted, canonical_id(F.col(key)) == F.col("_id"), "left_semi")
@@ -54,6 +59,63 @@ def write_day(rows: DataFrame, path: str, day: str | dt.date, files: int | None
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of a folder, by the cluster's own file system classes."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def drop_day(spark: SparkSession, path: str, day: str | dt.date) -> bool:
+    """Remove one day's partition; False if there was none."""
+    fs, at = _files(spark, f"{path}/dt={day}")
+    return bool(fs.delete(at, True))
+
+
+def create_day(spark: SparkSession, path: str, day: str | dt.date) -> None:
+    """Make an empty partition of cluster rows for a day; rows that are there stay."""
+    fs, at = _files(spark, f"{path}/dt={day}")
+    if not fs.exists(at):
+        spark.createDataFrame([], _STORED).write.parquet(f"{path}/dt={day}")
+
+
+def init_day(spark: SparkSession, path: str, day: str | dt.date) -> None:
+    """An empty partition for a day, whatever was there."""
+    drop_day(spark, path, day)
+    create_day(spark, path, day)
+
+
+_STORED = schema.T.StructType([
+    schema.T.StructField(n, schema.T.IntegerType() if n in ("cluster_id", "article_count") else schema.T.TimestampType() if n == "created_at" else schema.T.StringType())
+    for n in ("flashpoint_id", "cluster_id", "summary", "article_count", "top_domains", "languages", "urls", "images", "created_at")
+])
+
+
+def write_together(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Write several frames, all or none, each to its path, and return their row counts.
+
+    Each is written beside its path first; only when all are there do renames put them in place. A failed write
+    removes what was written and leaves the old data of every path alone.
+    """
+    if not frames:
+        return {}
+    tag, spark = uuid.uuid4().hex, next(iter(frames.values())).sparkSession
+    beside = {path: f"{path.rstrip('/')}-{tag}" for path in frames}
+    try:
+        for path, df in frames.items():
+            df.write.parquet(beside[path])
+        counts = {path: spark.read.parquet(at).count() for path, at in beside.items()}
+    except Exception:
+        for at in beside.values():
+            fs, p = _files(spark, at)
+            fs.delete(p, True)
+        raise
+    for path, at in beside.items():
+        fs, old = _files(spark, path)
+        fs.delete(old, True)
+        fs.rename(_files(spark, at)[1], old)
+    return counts
+
+
 def store_clusters(clusters: DataFrame, path: str, day: str | dt.date, mode: str = "append") -> None:
     """Cluster rows with their lists as JSON; ``all_domains`` isn't stored."""
     lists = ("top_domains", "languages", "urls", "images")
@@ -111,10 +173,37 @@ def insert_collection(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("flashpoint_id").parquet(path)
 
 
+def scan_collection(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
+    """All rows of a collection, or of every one; one topic's rows are read from its own partition only."""
+    rows = spark.read.parquet(path)
+    return rows if topic is None else rows.where(F.col("flashpoint_id") == topic)
+
+
 def list_collections(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("flashpoint_id").distinct()
 
 
+def require_collection(spark: SparkSession, path: str, topic: str) -> DataFrame:
+    """The rows of a collection; KeyError if there is none of that name."""
+    fs, at = _files(spark, f"{path}/flashpoint_id={topic}")
+    if not fs.exists(at):
+        raise KeyError(f"no collection named {topic}")
+    return scan_collection(spark, path, topic)
+
+
+def delete_collection(spark: SparkSession, path: str, topic: str) -> None:
+    """Remove a collection; KeyError if there is none of that name."""
+    fs, at = _files(spark, f"{path}/flashpoint_id={topic}")
+    if not fs.delete(at, True):
+        raise KeyError(f"no collection named {topic}")
+
+
+def wipe_collections(spark: SparkSession, path: str) -> None:
+    """Remove all collections."""
+    fs, at = _files(spark, path)
+    fs.delete(at, True)
+
+
 def query_similar(rows: DataFrame, query: Sequence[float], k: int = 5, key: str = "id", embedding: str = "embedding") -> DataFrame:
     """The k rows most similar to a vector, ties by key: one scan, a bounded heap in each task, k rows to the driver."""
     q = F.array(*[F.lit(float(x)) for x in query])
@@ -126,5 +215,10 @@ def jdbc_options(url: str, table: str, key: str, low: int, high: int, partitions
     return {"url": url, "dbtable": table, "partitionColumn": key, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(partitions), "fetchsize": str(fetch), "pushDownPredicate": "true"}
 
 
+def read_jdbc(spark: SparkSession, options: dict[str, str], **more: str) -> DataFrame:
+    """A database table as partitioned scans; ``more`` adds options such as user, password and driver."""
+    return spark.read.format("jdbc").options(**options, **more).load()
+
+
 def column_or_null(rows: DataFrame, name: str) -> Column:
     return F.col(name) if name in rows.columns else F.lit(None).cast("string").alias(name)

@@ -177,3 +177,190 @@ def test_density_of_a_large_topic_is_spread_and_the_same(spark, block, monkeypat
         for topic, rows in (("big", x), ("small", x[:60])):
             assert [got[topic, f"{topic[0] if topic == 'small' else 'i'}{k:03d}"] for k in range(len(rows))] == clusterer(rows).tolist()
     assert len(largest) == 2
+
+
+def test_analysis_equals_the_rows_of_weights(spark):
+    text = "Alpha beta gamma. Alpha beta delta 7. Epsilon zeta eta. Alpha beta gamma. Alpha one. 12"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    a = Z.analysed(docs).first()
+    v = Z.weights(Z.terms(Z.sentence_rows(docs)), max_share=0.9).groupBy("i").agg(F.max("v").alias("t")).collect()
+    assert {r.i: round(r.t, 9) for r in v} == {i: round(t, 9) for i, t in enumerate(a.top) if t}
+    v = Z.weights(Z.terms(Z.sentence_rows(docs))).groupBy("i").agg(F.sum("v").alias("t")).collect()
+    assert {r.i: round(r.t, 9) for r in v} == {i: round(t, 9) for i, t in enumerate(a.total) if t}
+    none = spark.createDataFrame([(1, None), (2, ""), (3, "!!! ???")], "doc_id long, text string")
+    assert Z.redundancy(none).count() == 0 and [r.doc_id for r in Z.analysed(none).collect()] == [3]
+
+
+def test_compression_forces_dates_and_entities(spark):
+    filler = " ".join(f"Filler words number {w} stand here again today." for w in ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine"))
+    docs = spark.createDataFrame([(1, filler + " it happened on 2024-01-02 there. then the mayor of zebra town spoke."), (2, None), (3, ""), (4, "Single one."), (5, "A" * 3000 + ". " + "B c. ")], "doc_id long, text string")
+    got = {r.doc_id: r for r in Z.compress(docs).collect()}
+    assert "2024-01-02" in got[1].compressed and got[1].n_kept < 11
+    assert (got[2].compressed, got[2].n_kept) == (None, 0) and (got[3].compressed, got[3].n_kept) == ("", 0) and got[4].n_kept == 1
+    assert Z.compress(docs.limit(0)).count() == 0
+    s = ["a b", "Anna spoke", "c d", "e f"] * 5
+    kept = Z.kept_sentences(s, [3] * 20, 60, ["anna"], 1024, 2)
+    assert {i for i in range(20) if i % 4 == 1} <= set(kept) and kept == sorted(kept)
+    assert len(Z.kept_sentences(s, [100] * 20, 2000, ["anna"], 256, 2)) == 5  # 2 x 256 tokens less the prefix
+
+
+def test_meta(spark):
+    from newsloom.operators import meta as N
+
+    rows = [("The president met the parliament. John Smith and Anna Lee of NATO spoke in Paris, France.",), ("market market startup",), ("Nothing here",), ("",), (None,)]
+    m = [r.m for r in spark.createDataFrame(rows, "t string").select(N.heuristic_meta(F.col("t")).alias("m")).collect()]
+    assert m[0].domain == "politics" and m[0].is_politics_central and m[0].entities.people == ["John Smith", "Anna Lee"] and m[0].entities.orgs == ["NATO"] and "Paris, France" in m[0].entities.places
+    assert m[1].domain == "business" and m[2].domain == "world" and m[0].topics == ["president", "parliament", "john", "smith", "anna", "nato"]
+    raw = ['```json\n{"domain": "TECH", "topics": "a, b ,,c", "entities": {"people": [" x ", "x"]}, "geo": {"city": ""}}\n```', 'Sure: {"topics": ["p", "q"], "is_politics_central": true}', "none", None]
+    n = [r.m for r in spark.createDataFrame([(x,) for x in raw], "t string").select(N.normalised_meta(F.col("t")).alias("m")).collect()]
+    assert n[0].domain == "tech" and n[0].topics == ["a", "b", "c"] and n[0].entities.people == ["x"] and n[0].geo.city is None
+    assert n[1].domain == "world" and n[1].topics == ["p", "q"] and n[1].is_politics_central is True
+
+
+def test_quality_gates(spark):
+    from newsloom.operators import meta as N
+
+    df = spark.createDataFrame([("Anna met Bob.", ["anna", "zoe", "yan", "xu"], ["2024-01-02"], ["7", "8.5", "9", "10"]), ("On 2024-01-02 anna met zoe 5 5 5 5 5 5", ["anna", "zoe"], [], [])], "s string, m array<string>, dates array<string>, numbers array<string>")
+    g = [r.g for r in df.select(N.quality_gates(F.col("s"), F.col("m"), F.struct("dates", "numbers")).alias("g")).collect()]
+    assert not g[0].entity_coverage and g[0].missing == ["zoe", "yan", "xu"] and not g[0].temporal and g[0].numeric_ok
+    assert g[0].summary == "Anna met Bob.\nTimeline: 2024-01-02 (source)."
+    assert g[1].entity_coverage and g[1].temporal and g[1].numeric_ok and g[1].missing == []
+    bare = spark.createDataFrame([("Anna met Bob.", ["anna"], [], ["7", "8", "9", "10"])], df.schema)
+    one = bare.select(N.quality_gates(F.col("s"), F.col("m"), F.struct("dates", "numbers")).alias("g")).first().g
+    assert one.summary == "Anna met Bob.\nNote: Source mentioned figures such as 7, 8, 9." and not one.numeric_ok
+
+
+def test_budgets():
+    assert plugins.final_tokens(1020) == 700 and plugins.final_tokens(300) == 300
+    assert [plugins.part_tokens(n, 700) for n in (0, 1, 2, 4, 100)] == [120, 220, 122, 61, 60]
+    assert plugins.merge_tokens(1001) == (500, 600) and plugins.merge_tokens(1000) == (200, 400)
+    assert plugins.room(1024, 100, 20) == (924, False) and plugins.room(150, 100, 20) == (130, True) and plugins.room(60, 100, 20) == (64, True)
+    assert M.pool_size(10, 3, 5) == 3 and M.pool_size(1, 3, 5) == 1 and M.pool_size(None, 3, 5) == 5
+    assert M.device(True) == "gpu" and M.device(True, force_cpu=True, force_gpu=True) == "cpu" and M.device(False) == "cpu"
+    with pytest.raises(RuntimeError):
+        M.device(False, force_gpu=True)
+    assert M.task_resources(8, 2, 9, 4)["spark.task.resource.gpu.amount"] == "0.2500" and M.task_resources(None, 2, 2, 4) == {"spark.task.cpus": "2"}
+
+
+def flaky(name, fails=0):
+    """A translator that fails on one word, and the first times it meets another."""
+
+    class Flaky:
+        kind = "translate"
+
+        def __init__(self, name, fails=0):
+            self.name, self.fails = name, fails
+
+        def load(self):
+            return {}
+
+        def apply(self, model, values):
+            out = []
+            for v in values:
+                model[v] = model.get(v, 0) + 1
+                if v is not None and ("never" in v or ("later" in v and model[v] <= self.fails)):
+                    raise ValueError(v)
+                out.append(None if v is None else v.upper())
+            return __import__("pandas").Series(out)
+
+    return Flaky(name, fails)
+
+
+def test_translation_falls_back_and_retries(spark):
+    plugins.register(flaky("flaky", 3))
+    df = spark.createDataFrame([("fine",), ("never",), ("later",), (None,)], "t string").coalesce(1)
+    col = lambda c: [r[0] for r in df.select(c).collect()]
+    assert col(plugins.translated(F.col("t"), "flaky", "default")) == ["FINE", "never", "later", ""]
+    assert col(plugins.translated(F.col("t"), "flaky")) == ["FINE", "", "", ""]
+    assert col(plugins.call(plugins.get("translate", "flaky"), F.col("t"), "string", tries=5)) == ["FINE", None, "LATER", None]
+    assert col(plugins.translated_remotely(F.col("t"), "flaky", tries=4, wait=0)) == ["FINE", "never", "LATER", None]
+
+
+def test_summaries_read_the_whole_text(spark):
+    head = " ".join(f"aw{i} bw{i} cw{i} dw{i} ew{i}." for i in range(400))
+    docs = spark.createDataFrame([(1, head + " The reactor reactor reactor core failed at the very end reactor."), (2, "Short one."), (3, None), (4, " ")], "doc_id long, text string")
+    got = {r.doc_id: r.summary for r in pipeline.summaries(docs, "doc_id", "text").collect()}
+    assert got[2] == "Short one." and got[3] == got[4] == ""
+    assert "very end" in got[1] and len(got[1]) < len(docs.first().text)
+
+
+def test_cluster_summaries_take_every_member(spark):
+    import pyspark.sql.functions as F2
+
+    rows = spark.createDataFrame([("c", i, f"Member {i} tells of event{i:03d} event{i:03d} event{i:03d}.", "d") for i in range(12)] + [("b", 1, "Alone.", None), ("e", 1, None, "d")], "k string, n int, summary string, domain string")
+    got = {r.k: r.summary for r in pipeline.cluster_summaries(rows.where("summary is not null"), ["k"], ["n"]).collect()}
+    assert "[unknown] Alone." in got["b"] and all(f"event{i:03d}" in got["c"] for i in range(12))
+    big = spark.range(3000).select(F2.lit("c").alias("k"), "id", F2.concat(F2.lit("A member of the group says that "), F2.col("id").cast("string"), F2.lit(" boats left the port today.")).alias("summary"), F2.lit("d").alias("domain"))
+    assert 0 < len(pipeline.cluster_summaries(big, ["k"], ["id"]).first().summary) < 20000
+    assert pipeline.cluster_summaries(rows.limit(0), ["k"], ["n"]).count() == 0
+
+
+def test_days_collections_and_joint_writes(spark, tmp_path):
+    p = str(tmp_path / "d")
+    S.create_day(spark, p, "2025-01-01")
+    assert spark.read.parquet(p).count() == 0 and S.drop_day(spark, p, "2025-01-01") and not S.drop_day(spark, p, "2025-01-01")
+    c = str(tmp_path / "c")
+    S.insert_collection(spark.createDataFrame([("a", "1"), ("b", "2")], "flashpoint_id string, id string"), c)
+    assert S.require_collection(spark, c, "a").count() == 1 and S.scan_collection(spark, c).count() == 2
+    S.delete_collection(spark, c, "a")
+    with pytest.raises(KeyError):
+        S.require_collection(spark, c, "a")
+    with pytest.raises(KeyError):
+        S.delete_collection(spark, c, "a")
+    S.wipe_collections(spark, c)
+    assert not (tmp_path / "c").exists()
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    assert S.write_together({one: spark.range(3), two: spark.range(4)}) == {one: 3, two: 4} and S.write_together({}) == {}
+    bad = spark.range(2).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception):
+        S.write_together({one: spark.range(9), two: bad})
+    assert spark.read.parquet(one).count() == 3 and sorted(x.name for x in tmp_path.iterdir() if not x.name.startswith(".")) == ["d", "one", "two"]
+
+
+def test_a_bad_id_in_a_list_raises(spark):
+    with pytest.raises(ValueError):
+        S.by_ids(spark.createDataFrame([("x",)], "id string"), ["no uuid"])
+
+
+def test_no_local_shared_folder_on_a_cluster():
+    from newsloom import session
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: type("D", (), {"isEmpty": lambda self: True})()})()})()
+
+        def getConf(self):
+            return {}
+
+    with pytest.raises(RuntimeError):
+        session.shared_folder(type("Sess", (), {"sparkContext": Context()})())
+
+
+def test_soft_outputs():
+    rng = np.random.default_rng(1)
+    c = rng.standard_normal((3, 16)) * 4
+    x = np.concatenate([np.repeat(c, 12, 0) + 0.05 * rng.standard_normal((36, 16)), rng.standard_normal((4, 16)) * 3])
+    u = C.unit_rows(x)
+    edges = C.spanning_edges(u, C.core_distances(u, 5))
+    label = C.condensed(len(x), edges, 5, 0.05)
+    probability, outlier = C.soft_outputs(len(x), edges, label)
+    assert ((probability >= 0) & (probability <= 1)).all() and ((outlier >= 0) & (outlier <= 1)).all()
+    assert (probability[label == -1] == 0).all() and (probability[label >= 0] > 0).all()
+    assert all(probability[label == k].max() == 1 for k in set(label.tolist()) - {-1})
+    assert outlier[label == -1].min() > np.median(outlier[label >= 0])
+
+
+def test_reduced_keeps_distances(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((40, 3)) @ rng.standard_normal((3, 10))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(99, None)], "id long, embedding array<double>")
+    y = {r.id: np.array(r.embedding) for r in C.reduced(df, 3).collect()}
+    assert len(y) == 40 and all(len(v) == 3 for v in y.values())
+    assert np.linalg.norm(y[0] - y[1]) == pytest.approx(np.linalg.norm(x[0] - x[1]), rel=1e-6)
+
+
+def test_noise_and_maps(spark):
+    r = {x.g: x for x in C.noise_counts(spark.createDataFrame([("a", -1), ("a", 0), ("a", 0), ("b", -1)], "g string, label int"), "g").collect()}
+    assert (r["a"].n_noise, r["a"].n_clusters, r["a"].fallback) == (1, 1, False) and r["b"].fallback
+    m = spark.sql("select map('a', 1, 'b', 2) as l, map('b', 3) as r").select(T.merged_map(F.col("l"), F.col("r")).alias("m")).first().m
+    assert m == {"a": 1, "b": 3}
