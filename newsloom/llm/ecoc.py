@@ -153,6 +153,24 @@ def _from_counts(counts: np.ndarray, languages: list[str], codes: np.ndarray) ->
     return Model(languages, codes, w, np.ones(codes.shape[1], np.float32))
 
 
+def _by_bucket(h: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts of the grams sorted by bucket, where each bucket begins, and the buckets."""
+    order = np.argsort(h, kind="stable")
+    ranked = h[order]
+    begins = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+    return text_of[order], begins, ranked[begins]
+
+
+def _runs(begins: np.ndarray, total: int) -> list[tuple[int, int]]:
+    """Runs of whole groups of about _PIECE / 4 grams, to bound what is gathered at once."""
+    out, first = [], 0
+    while first < len(begins):
+        last = max(int(np.searchsorted(begins, begins[first] + _PIECE // 4, "right")) - 1, first + 1) if begins[first] + _PIECE // 4 < total else len(begins)
+        out.append((first, last))
+        first = last
+    return out
+
+
 def fit(texts: list[str], labels: list[str | None], languages: list[str], votes: list[int] | None = None) -> Model:
     """Fit on a bounded sample of labelled texts; labels outside ``languages`` count as unknown.
 
@@ -170,14 +188,20 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str], votes:
     sizes = np.diff(np.append(starts, len(tri)))
     root = np.sqrt(np.maximum(np.add.reduceat((tri != 0).astype(np.int32), starts), 1)).astype(np.float32)
     bits = codes.shape[1]
-    grown = np.full((2, bits, BUCKETS), 1e-3, np.float32)
     agreed = np.ones(len(texts)) if votes is None else np.array(votes, np.float64)
     heft, firm = (1 + np.log(agreed)).astype(np.float32), agreed >= FIRM
     margins = np.zeros((len(texts), bits), np.float32)
+    # all bits of a gram lie side by side, so one gather serves them all; grams are sorted by bucket once for the way back
+    w = np.ascontiguousarray(model.weights.transpose(0, 2, 1))
+    grown = np.full_like(w, 1e-3)
+    text_of = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    back = [_by_bucket(h, text_of) for h in (tri, tet)]
+    cuts = _runs(starts, len(tri))
 
     def forward() -> None:
-        for b in range(bits):
-            margins[:, b] = np.add.reduceat(model.weights[0, b][tri] + model.weights[1, b][tet], starts) / root
+        for first, last in cuts:
+            a, b = starts[first], starts[last] if last < len(starts) else len(tri)
+            margins[first:last] = np.add.reduceat(w[0][tri[a:b]] + w[1][tet[a:b]], starts[first:last] - a, axis=0) / root[first:last, None]
 
     # a short first fit finds wrong labels: texts it reads otherwise take its label, if only a page or two spoke for theirs
     for epoch in range(FIRST + EPOCHS):
@@ -185,19 +209,21 @@ def fit(texts: list[str], labels: list[str | None], languages: list[str], votes:
             if epoch:
                 got, sure = model.nearest(margins)
                 y = np.where(firm | (sure < RELABEL), y, got)
-                model.weights = _from_counts(_count(texts, y, k), languages, codes).weights
+                w = np.ascontiguousarray(_from_counts(_count(texts, y, k), languages, codes).weights.transpose(0, 2, 1))
                 grown[:] = 1e-3
             forward()
         target = codes[np.maximum(y, 0)]
-        pull = target / (1 + np.exp(np.clip(target * margins, -30, 30))) * ((y >= 0) * heft / root)[:, None]
-        for b in range(bits):
-            each = np.repeat(pull[:, b], sizes)
-            for t, h in ((0, tri), (1, tet)):
-                g = np.bincount(h, weights=each, minlength=BUCKETS).astype(np.float32)
-                g[0] = 0
-                grown[t, b] += g * g
-                model.weights[t, b] += STEP * g / np.sqrt(grown[t, b])
+        pull = (target / (1 + np.exp(np.clip(target * margins, -30, 30))) * ((y >= 0) * heft / root)[:, None]).astype(np.float32)
+        for t, (texts_of, begins, buckets) in enumerate(back):
+            for first, last in _runs(begins, len(texts_of)):
+                a, b = begins[first], begins[last] if last < len(begins) else len(texts_of)
+                g = np.add.reduceat(pull[texts_of[a:b]], begins[first:last] - a, axis=0)
+                own = buckets[first:last]
+                g[own == 0] = 0
+                grown[t, own] += g * g
+                w[t, own] += STEP * g / np.sqrt(grown[t, own])
         forward()
+    model.weights = np.ascontiguousarray(w.transpose(0, 2, 1))
     known = y >= 0
     right = ((margins[known] * codes[y[known]]) > 0).mean(0) if known.any() else np.full(bits, 0.5)
     model.trust = np.clip(np.log((right + 0.01) / (1.01 - right)), 0.1, 4).astype(np.float32)
