@@ -58,6 +58,11 @@ def p4_clusters(spark: SparkSession, d: str) -> DataFrame:
     return vectors.cluster_records(shared(_clusters(spark, d)), table(spark, d, "feeds")).withColumnRenamed("topic", "flashpoint_id")
 
 
+def p4_sizes(spark: SparkSession, d: str) -> DataFrame:
+    found = _clusters(spark, d)
+    return found.groupBy(F.col("topic").alias("flashpoint_id"), "cluster").agg(F.count("*").alias("article_count"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pages.residue(table(spark, d, "feeds")).select("id")
 
@@ -127,7 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            p1_found, p1_article, p2_found, p2_languages, p3_found, p3_pieces, p4_found, p4_clusters, p5_found, p5_kept,
+            p1_found, p1_article, p2_found, p2_languages, p3_found, p3_pieces, p4_found, p4_clusters, p4_sizes, p5_found, p5_kept,
             p6_found, p6_neighbours, p6_recall, p7_found, p7_clean, p8_ids, p9_found, p9_containers, p10_found, p10_sources,
         )
     }
@@ -149,6 +154,11 @@ def oracle_sql() -> dict[str, str]:
             with {_USABLE}, t as (select distinct id from flashpoints)
             select a.id as id_a, b.id as id_b from usable a join usable b on a.flashpoint_id = b.flashpoint_id and a.id < b.id
             where a.flashpoint_id in (select id from t) and list_cosine_similarity(a.e, b.e) >= 0.67""",
+        "p4_sizes": f"""
+            with {_USABLE}, t as (select distinct id from flashpoints),
+            n as (select a.flashpoint_id, a.id, min(b.id) as other from usable a join usable b on a.flashpoint_id = b.flashpoint_id and a.id <> b.id
+                where a.flashpoint_id in (select id from t) and list_cosine_similarity(a.e, b.e) >= 0.67 group by 1, 2)
+            select flashpoint_id, least(id, other) as cluster, count(*) as article_count from n group by 1, 2""",
         "p6_found": f"""
             with {_USABLE}, s as (
                 select a.id as a, b.id as b, row_number() over (partition by a.id order by round(list_cosine_similarity(a.e, b.e), 6) desc, b.id) as r
@@ -167,4 +177,18 @@ def oracle_sql() -> dict[str, str]:
             t as (select domain, count(*) as total from g group by domain)
             select k.id, cast(k.line_no as integer) as line_no from k join n using (domain, key) join t using (domain)
             where n.n >= 4 and n.n >= 0.05 * t.total""",
+        "p7_clean": """
+            with f as (
+                select id, nullif(regexp_replace(lower(regexp_replace(any_value(domain), '^\\s+|\\s+$', '', 'g')), '^www\\.', ''), '') as domain, any_value(raw_text) as t, min(created_at)::date as day
+                from feeds group by id),
+            c as (select domain, t, min(day) as day, row_number() over () as page from f where domain is not null and regexp_matches(t, '\\S') group by domain, t),
+            k as (select distinct domain, page, day, regexp_replace(regexp_replace(regexp_replace(lower(raw), '[0-9]+', '0', 'g'), ' +', ' ', 'g'), '^\\s+|\\s+$', '', 'g') as key
+                from (select domain, page, day, unnest(string_split(t, chr(10))) as raw from c)),
+            n as (select domain, key, count(*) as clusters, count(distinct day) as days from k where regexp_matches(key, '\\p{L}') group by domain, key),
+            d as (select domain, count(*) as clusters, count(distinct day) as days from c group by domain),
+            r as (select n.domain, n.key from n join d using (domain) where n.clusters >= 4 and n.clusters >= 0.05 * d.clusters and n.days >= least(2, d.days)),
+            l as (select id, domain, unnest(string_split(t, chr(10))) as raw, generate_subscripts(string_split(t, chr(10)), 1) as no from f where domain is not null and regexp_matches(t, '\\S')),
+            m as (select l.id, l.raw, l.no, r.key is not null as gone from l left join r on l.domain = r.domain and r.key = regexp_replace(regexp_replace(regexp_replace(lower(l.raw), '[0-9]+', '0', 'g'), ' +', ' ', 'g'), '^\\s+|\\s+$', '', 'g')),
+            s as (select id, coalesce(string_agg(raw, chr(10) order by no) filter (where not gone), '') as text, count(*) filter (where gone)::integer as n_removed from m group by id)
+            select f.id, case when coalesce(s.n_removed, 0) = 0 then f.t else s.text end as text, coalesce(s.n_removed, 0) as n_removed from f left join s using (id)""",
     }
