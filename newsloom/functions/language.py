@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import text as X
@@ -85,3 +85,8 @@ def detect(c: Column) -> Column:
 def model_code(c: Column) -> Column:
     m = F.create_map(*[F.lit(x) for kv in MODEL_CODES.items() for x in kv])
     return F.coalesce(m[c], c)
+
+
+def supported(spark: SparkSession) -> DataFrame:
+    """(code, model_code) of the languages that the model knows."""
+    return spark.createDataFrame(sorted(MODEL_CODES.items()), "code string, model_code string")

@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 _DROPPED = {"script", "style", "noscript", "header", "footer", "nav", "aside", "form", "svg"}
 _DROPPED_HINTS = ("cookie", "advert", "promo", "sidebar", "newsletter", "share", "related")
@@ -66,6 +66,41 @@ class _Main(HTMLParser):
             self.blocks[-1] += data
 
 
+class _Rows(HTMLParser):
+    """Texts of the cells of each table row."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.rows: list[list[str]] = []
+        self.open = False
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "tr":
+            self.rows.append([])
+            self.open = False
+        elif tag == "td" and self.rows:
+            self.rows[-1].append("")
+            self.open = True
+
+    def handle_endtag(self, tag):
+        if tag in ("td", "tr", "table"):
+            self.open = False
+
+    def handle_data(self, data):
+        if self.open:
+            self.rows[-1][-1] += data
+
+
+def table_rows_of(page: str | None) -> list[list[str]] | None:
+    """Cells of the rows of all tables of a page, header rows left out; null for null."""
+    if page is None:
+        return None
+    p = _Rows()
+    p.feed(page)
+    p.close()
+    return [[" ".join(c.split()) for c in r] for r in p.rows if r]
+
+
 def paragraphs_of(page: str | None) -> str | None:
     """All paragraph texts joined by spaces; null for null."""
     if page is None:
@@ -98,3 +133,8 @@ def main_text(pages: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).strip())
+
+
+@F.pandas_udf(ArrayType(ArrayType(StringType())))
+def table_rows(pages: pd.Series) -> pd.Series:
+    return pages.map(table_rows_of)

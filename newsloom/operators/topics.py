@@ -52,3 +52,13 @@ def daily_name(base: str, day: Column) -> Column:
 def merged_map(left: Column, right: Column) -> Column:
     """Both maps in one; where a key is in both, the right one's value stands."""
     return F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)
+
+
+def zipped(left: Column, right: Column) -> Column:
+    """Structs of the elements of two arrays by position; the shorter one is filled with nulls."""
+    return F.arrays_zip(left.alias("left"), right.alias("right"))
+
+
+def chosen(values: Column, key: Column, seed: int = 42) -> Column:
+    """One element of an array, the same for a key and seed in every run; null for an empty array."""
+    return F.when(F.size(values) > 0, F.element_at(values, (F.pmod(F.xxhash64(key, F.lit(seed)), F.size(values)) + 1).cast("int")))

@@ -713,6 +713,45 @@ def a18_noise_counts(spark, d):
     return C.noise_counts(e.withColumn("part", F.col("label") % 3), "part")
 
 
+@_query("""select id, p::integer as p, entities[p] as entity, domains[p] as domain from (select *, unnest(range(1, greatest(len(entities), len(domains)) + 1)) as p from flashpoints)""")
+def j6_zip_by_position(spark, d):
+    z = _t(spark, d, "flashpoints").select("id", F.posexplode(TP.zipped(F.col("entities"), F.col("domains"))).alias("p", "z"))
+    return z.select("id", (F.col("p") + 1).alias("p"), F.col("z.left").alias("entity"), F.col("z.right").alias("domain"))
+
+
+@_query()
+def o8_chosen(spark, d):
+    return _t(spark, d, "flashpoints").select("id", TP.chosen(F.col("domains"), F.col("id")).alias("domain"))
+
+
+@_query("select code, " + "case code " + " ".join(f"when '{k}' then '{v}'" for k, v in L.MODEL_CODES.items()) + " end as model_code from language_names")
+def t28_supported(spark, d):
+    return L.supported(spark)
+
+
+@_query(r"""select doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '^[- ]+|[- ]+$', '', 'g'))), lambda x: x <> '')[1:3], '|') as questions from documents where text is not null""")
+def t36_question_lines(spark, d):
+    from . import plugins
+
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", F.array_join(plugins.question_lines(F.col("text")), "|").alias("questions"))
+
+
+@_query("""with recursive e as (select user_id, ts, event_id, row_number() over (partition by user_id order by ts, event_id) as r from events),
+    f as (select user_id, ts, event_id, r from e where r = 1
+        union all select n.user_id, n.ts, n.event_id, n.r from (select f.user_id, min(e.r) as r from f join e on e.user_id = f.user_id and e.r > f.r and e.ts >= f.ts + interval 300 minutes group by f.user_id, f.r) k join e n on n.user_id = k.user_id and n.r = k.r)
+    select user_id, event_id from f""")
+def st3_cache_refreshes(spark, d):
+    return W.refreshes(_t(spark, d, "events"), "user_id", 300 * 60).select("user_id", "event_id")
+
+
+@_query("select domain, count(*) as n from (select distinct domain, outlet_name from outlets) group by 1")
+def src15_table_rows(spark, d):
+    """Rows of a table kept as a page: outlets written as HTML and read back."""
+    o = _t(spark, d, "outlets").select(F.concat(F.lit("<table><tr><th>d</th></tr><tr><td>"), "domain", F.lit("</td><td> "), F.regexp_replace("outlet_name", "&", "&amp;"), F.lit("</td></tr></table>")).alias("html"))
+    r = o.select(F.explode(H.table_rows(F.col("html"))).alias("r")).select(F.col("r")[0].alias("domain"), F.col("r")[1].alias("n")).distinct()
+    return r.groupBy("domain").agg(F.count("*").alias("n"))
+
+
 @_query()
 def t9_chunks(spark, d):
     c = _t(spark, d, "documents").select("doc_id", X.chunk_text(F.col("text"), F.lower("lang"), 500).alias("c"))

@@ -109,6 +109,53 @@ def translated_remotely(c: Column, name: str = "default", most: int = 4000, trie
     return run(X.smart_split(c, most))
 
 
+def fetched(c: Column, name: str = "default", tries: int = 2, wait: float = 1.0) -> Column:
+    """Page of each address through a fetcher plug-in; null where every try fails. The waits between tries double."""
+    p = get("fetch", name)
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = p.load()
+
+        def page(url: str | None) -> str | None:
+            for n in range(tries if url else 0):
+                try:
+                    return p.apply(model, pd.Series([url])).iloc[0]
+                except Exception:
+                    if wait and n + 1 < tries:
+                        time.sleep(wait * 2**n)
+            return None
+
+        for s in batches:
+            yield s.map(page)
+
+    return run(c)
+
+
+class Files:
+    """Fetcher of pages kept as files: reads the path of a file address, and fails for any other."""
+
+    name, kind = "default", "fetch"
+
+    def load(self) -> None:
+        return None
+
+    def apply(self, model: None, values: pd.Series) -> pd.Series:
+        def read(url: str) -> str:
+            if not url.startswith("file://"):
+                raise ValueError(f"no fetcher for {url}")
+            with open(url[len("file://") :], "rb") as f:
+                return f.read().decode("utf-8", "replace")
+
+        return values.map(read)
+
+
+def question_lines(c: Column, most: int = 3) -> Column:
+    """Questions that a model wrote one to a line: without bullets and blanks, at most ``most``."""
+    bare = F.transform(F.split(c, "\n"), lambda x: F.trim(F.regexp_replace(x, "^[- ]+|[- ]+$", "")))
+    return F.slice(F.filter(bare, lambda x: x != ""), 1, most)
+
+
 #: Tokens of a final summary at most, and the share of them that the parts of a cluster may use together (fixed values).
 FINAL, PARTS_SHARE = 700, 0.35
 
@@ -212,6 +259,7 @@ class HashedEmbedding:
 
 
 register(Identity())
+register(Files())
 register(Extract())
 register(Extract("merge", merge_tokens(0)[1]))
 register(HashedEmbedding())

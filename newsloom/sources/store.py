@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..functions import page as H
 from ..functions import text as X
 from ..operators.cluster import cosine
 from ..operators.topics import canonical_id, or_unknown
@@ -220,5 +221,32 @@ def read_jdbc(spark: SparkSession, options: dict[str, str], **more: str) -> Data
     return spark.read.format("jdbc").options(**options, **more).load()
 
 
+def addresses(pages: DataFrame, page: str = "html") -> DataFrame:
+    """(host, port) of the first two cells of table rows that look like them, each once: a list of servers kept as a web page."""
+    r = pages.select(F.explode(H.table_rows(F.col(page))).alias("r")).where(F.size("r") >= 2)
+    r = r.select(F.col("r")[0].alias("host"), F.col("r")[1].alias("port"))
+    good = F.col("host").rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$") & F.col("port").rlike("^[0-9]{1,5}$")
+    return r.where(good).select("host", F.col("port").cast("int").alias("port")).distinct()
+
+
+def addresses_json(spark: SparkSession, path: str) -> DataFrame:
+    """(host, port) of a list of servers kept as JSON, each once."""
+    return spark.read.schema("ip string, port int").option("multiLine", "true").json(path).where("ip is not null").select(F.col("ip").alias("host"), "port").distinct()
+
+
+#: A few articles in the shape of the news API, keys missing here and there, for trying things out.
+SAMPLE = (
+    {"url": "https://one.example/a", "title": "Bridge opens", "seendate": "20250701T101500Z", "domain": "one.example", "language": "English", "sourcecountry": "Norway"},
+    {"url": "https://two.example/b", "url_mobile": "https://m.two.example/b", "title": "Le pont rouvre", "seendate": "2025-07-01", "socialimage": "https://two.example/b.png", "domain": "two.example", "language": "French", "sourcecountry": ""},
+    {"url": "https://one.example/a", "title": "Bridge opens", "seendate": "2025-07-02T08:00:00", "domain": "one.example", "language": "English", "sourcecountry": "Norway"},
+    {"url": None, "title": "No address", "seendate": "soon", "domain": "three.example", "language": "Chinese", "sourcecountry": "China"},
+)
+
+
+def sample_articles(spark: SparkSession) -> DataFrame:
+    names = [f.name for f in schema.API_ARTICLE]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in SAMPLE], schema.API_ARTICLE)
+
+
 def column_or_null(rows: DataFrame, name: str) -> Column:
     return F.col(name) if name in rows.columns else F.lit(None).cast("string").alias(name)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,43 @@ def distinct_events(events: DataFrame, late: str | None = None) -> DataFrame:
     return _late(events, late).dropDuplicatesWithinWatermark(["event_id"]) if late else events.dropDuplicates(["event_id"])
 
 
+def refreshes(events: DataFrame, key: str, ttl_seconds: int = 300, late: str = "1 hour") -> DataFrame:
+    """(key, ts, event_id) of the events at which a cache whose entries live ``ttl_seconds`` is filled anew: the first of a key and each one as long after the last filling.
+
+    The rule depends on the last filling, so a key's times are read in order, in small rows; on a stream the time
+    of the last filling is the state of the key; it goes once the watermark, ``late`` behind, has passed its life.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
+    schema = f"{key} {kinds[key]}, ts timestamp, event_id {kinds['event_id']}"
+    e = events.select(key, F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    life = pd.Timedelta(seconds=ttl_seconds)
+
+    def filled(pdf: pd.DataFrame, last: pd.Timestamp | None) -> tuple[pd.DataFrame, pd.Timestamp | None]:
+        pdf = pdf.sort_values(["ts", "event_id"], kind="stable")
+        at = []
+        for n, t in enumerate(pdf["ts"]):
+            if last is None or t - last >= life:
+                at.append(n)
+                last = t
+        return pdf.iloc[at], last
+
+    if not events.isStreaming:
+        return e.groupBy(key).applyInPandas(lambda pdf: filled(pdf, None)[0], schema)
+
+    def stateful(k, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
+        rows = pd.concat(list(parts))
+        out, last = filled(rows, last)
+        state.update((last.value // 1000,))
+        state.setTimeoutTimestamp(max(last.value // 1_000_000 + ttl_seconds * 1000, state.getCurrentWatermarkMs() + 1))
+        yield out
+
+    return e.withWatermark("ts", late).groupBy(key).applyInPandasWithState(stateful, schema, "last long", "append", "EventTimeTimeout")
+
+
 def read_events(spark: SparkSession, folder: str, schema, files: int = 100) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
 

@@ -364,3 +364,33 @@ def test_noise_and_maps(spark):
     assert (r["a"].n_noise, r["a"].n_clusters, r["a"].fallback) == (1, 1, False) and r["b"].fallback
     m = spark.sql("select map('a', 1, 'b', 2) as l, map('b', 3) as r").select(T.merged_map(F.col("l"), F.col("r")).alias("m")).first().m
     assert m == {"a": 1, "b": 3}
+
+
+def test_fetching_tables_and_samples(spark, tmp_path):
+    (tmp_path / "p.html").write_text("<table><tr><th>IP</th></tr><tr><td>1.2.3.4</td><td>80</td></tr><tr><td> 1.2.3.4 <td>80<tr><td>x</td><td>9</td></tr></table><p>a</p>")
+    df = spark.createDataFrame([(f"file://{tmp_path}/p.html",), (f"file://{tmp_path}/none",), ("https://x.example",), (None,)], "u string").coalesce(1)
+    got = df.select(plugins.fetched(F.col("u"), wait=0).alias("html"))
+    assert [r.html is not None for r in got.collect()] == [True, False, False, False]
+    assert [(r.host, r.port) for r in S.addresses(got).collect()] == [("1.2.3.4", 80)]
+    (tmp_path / "j.json").write_text('[{"ip": "5.6.7.8", "port": 81}, {"ip": "5.6.7.8", "port": 81}, {"x": 1}]')
+    assert [(r.host, r.port) for r in S.addresses_json(spark, str(tmp_path / "j.json")).collect()] == [("5.6.7.8", 81)]
+    a = {r.url: r for r in S.api_articles(S.sample_articles(spark)).collect()}
+    assert set(a) == {"https://one.example/a", "https://two.example/b"} and str(a["https://one.example/a"].seen_at) == "2025-07-02 08:00:00" and a["https://two.example/b"].sourcecountry == "unknown"
+
+
+def test_refreshes_on_a_stream_equal_those_of_a_batch(spark, sf, tmp_path):
+    e = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "ts", "event_id").orderBy("ts", "event_id").limit(300)
+    e.coalesce(1).write.parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema(e.schema).parquet(str(tmp_path / "in"))
+    q = W.refreshes(s, "user_id", 18000).writeStream.format("memory").queryName("fills").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    ids = lambda d: sorted(r.event_id for r in d.collect())
+    assert ids(spark.table("fills")) == ids(W.refreshes(e, "user_id", 18000)) != ids(e)
+
+
+def test_zip_and_choice(spark):
+    df = spark.createDataFrame([("a", ["x", "y"], ["p"]), ("b", [], None)], "id string, l array<string>, r array<string>")
+    z = df.select(T.zipped(F.col("l"), F.col("r")).alias("z")).first().z
+    assert [(x.left, x.right) for x in z] == [("x", "p"), ("y", None)]
+    c = [r.c for r in df.select(T.chosen(F.col("l"), F.col("id")).alias("c")).collect()]
+    assert c[0] in ("x", "y") and c[1] is None
