@@ -373,14 +373,14 @@ def cluster_records(found: DataFrame, feeds: DataFrame, representatives: int = 3
 #: Curves, and dimensions and bits of each.
 CURVES, AXES, BITS = 3, 4, 15
 #: One distinct vector in PER_LANDMARK is a landmark, at least LEAST_LANDMARKS and, for what is broadcast, at most MOST_LANDMARKS (100 MB).
-PER_LANDMARK, LEAST_LANDMARKS, MOST_LANDMARKS = 8, 12_288, 393_216
+PER_LANDMARK, LEAST_LANDMARKS, MOST_LANDMARKS = 8, 16_384, 393_216
 #: Landmarks that draw a vector at most, and how fast the pull falls with similarity.
 DRAWN, SHARPNESS = 16, 12.0
 #: Passes in which landmarks are drawn to each other before they draw the vectors, and the fall of the pull in them.
-CALM_PASSES, CALM_SHARPNESS = 3, 3.0
+CALM_PASSES, CALM_SHARPNESS = 3, 1.0
 REDUCED_KNN = 256
 #: Vectors of one range, block of vectors compared with itself and the next one.
-RANGE, BLOCK = 16384, 2048
+RANGE, BLOCK = 16384, 3072
 #: Rows and landmarks compared at once.
 _ROWS, _MARKS = 512, 16384
 
