@@ -592,6 +592,7 @@ def nearest(feeds: DataFrame, k: int, id_col: str = "id", embedding: str = "embe
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([r.tobytes() for r in c.astype(np.float32)], pa.binary())], names=["h", "c"])
 
         out = sample.select("id", "z").repartition(max(1, min(2000, len(marks.ids) // 512))).mapInArrow(run, "h long, c binary").toArrow()
+        held.unpersist()
         h = out.column("h").to_numpy().view(np.uint64)
         return np.frombuffer(b"".join(out.column("c").to_pylist()), np.float32).reshape(-1, wide)[np.argsort(h, kind="stable")]
 
@@ -759,6 +760,10 @@ def compare_range(ids: np.ndarray, x: np.ndarray, k: int, block: int) -> pd.Data
     best_i = np.full((n, k), n, np.int64)  # rank of the id
 
     def take(rows: np.ndarray, s: np.ndarray, cols: np.ndarray) -> None:
+        for b in range(0, len(rows), _ROWS):  # what is ranked beside the block of similarities stays small
+            take_some(rows[b : b + _ROWS], np.ascontiguousarray(s[b : b + _ROWS]), cols)
+
+    def take_some(rows: np.ndarray, s: np.ndarray, cols: np.ndarray) -> None:
         m = min(k + 3, s.shape[1])
         top = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < s.shape[1] else np.tile(np.arange(m), (len(s), 1))
         v = np.round(np.take_along_axis(s, top, 1), 6)
