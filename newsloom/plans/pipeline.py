@@ -73,6 +73,8 @@ def summarise_stage(feeds: DataFrame, plugin: str = "default", merge: str = "mer
     return feeds.drop("summary").join(done, "id").where(F.col("summary") != "")
 
 
+#: Part summaries that are merged at once.
+FAN = 16
 SEPARATOR, PART_SEPARATOR = "\n\n— DOC —\n\n", "\n\n### CHUNK SUMMARY ###\n\n"
 
 
@@ -81,12 +83,13 @@ def cluster_summaries(rows: DataFrame, keys: list[str], order: list[str], text:
 
     A cluster that fits the capacity goes to the final summary at once. Token counts decide the parts, so the step
     that is sequential in a cluster sees small rows; parts are summarised as rows of their own, so a large cluster
-    is spread, and their summaries are short by the number of parts.
+    is spread, and their summaries are short by the number of parts. More than FAN of them are merged by FAN in
+    levels, so no row gathers a whole large cluster.
     """
     order = [*order, "_member"]
     rows = rows.withColumn("_member", F.xxhash64(*[F.col(c) for c in order[:-1]], F.col(text)))
     small = rows.select(*keys, *order, packing.document_cost(F.col(label), F.col(text), budget).alias("cost"))
-    dealt = packing.chunked(small, keys, order, budget)
+    dealt = shared(packing.chunked(small, keys, order, budget))
     total = dealt.groupBy(*keys).agg(F.sum("cost").alias("_tokens"), (F.max("chunk") + 1).alias("_parts"))
     dealt = dealt.join(total, keys).withColumn("chunk", F.when(F.col("_tokens") <= capacity, 0).otherwise(F.col("chunk")))
     headed = F.concat(F.lit("["), topics.or_unknown(F.col(label)), F.lit("] "), F.col(text))
@@ -97,7 +100,14 @@ def cluster_summaries(rows: DataFrame, keys: list[str], order: list[str], text:
         final = plugins.final_tokens(capacity)
         return pd.Series([t if k <= capacity else plugins.Extract("part", plugins.part_tokens(int(m), final)).apply(None, pd.Series([t])).iloc[0] for t, k, m in zip(texts, tokens, n)])
 
-    done = parts.withColumn("text", part("text", "_tokens", "_parts"))
+    done = parts.withColumn("text", part("text", "_tokens", "_parts")).select(*keys, "chunk", "text")
+    left = total.agg(F.max("_parts").alias("m")).first().m or 0
+    merge = plugins.Extract("level", plugins.part_tokens(FAN, plugins.final_tokens(capacity)))
+    while left > FAN:
+        level = done.withColumn("_level", F.floor(F.col("chunk") / FAN).cast("int"))
+        done = aggregate.ordered_concat(level, [*keys, "_level"], ["chunk"], "text", " ").withColumnRenamed("_level", "chunk")
+        done = shared(done.withColumn("text", plugins.call(merge, F.col("text"), "string")))
+        left = -(-left // FAN)
     joined = aggregate.ordered_concat(done, keys, ["chunk"], "text", PART_SEPARATOR)
     final = plugins.Extract("final", plugins.final_tokens(capacity))
     return joined.select(*keys, plugins.call(final, F.regexp_replace("text", "\\s*(?:— DOC —|### CHUNK SUMMARY ###)\\s*", " "), "string").alias("summary"))
