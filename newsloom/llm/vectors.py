@@ -714,12 +714,15 @@ def exact_neighbours(feeds: DataFrame, ids: DataFrame, k: int, id_col: str = "id
             x = matrix(packed(x).to_pylist(), dimension)  # the precision in which vectors are compared everywhere
             if not names or not own:
                 continue
-            s = np.round(q @ x.T, 6)
+            _, first = np.unique(np.array(own, object).astype(str), return_index=True)  # a repeated id would take another's place
+            x, own = x[first], [own[j] for j in first]
             m = min(len(own), k + 1)
-            floor = np.partition(s, len(own) - m, axis=1)[:, len(own) - m]
-            for n, name in enumerate(names):
-                near = [(-float(s[n, j]), own[j]) for j in np.flatnonzero(s[n] >= floor[n]) if own[j] != name]
-                best[n] = sorted(set(best[n] + near))[:k]
+            for a in range(0, len(names), 256):
+                s = np.round(q[a : a + 256] @ x.T, 6)
+                floor = np.partition(s, len(own) - m, axis=1)[:, len(own) - m]
+                for n, name in enumerate(names[a : a + 256]):
+                    near = [(-float(s[n, j]), own[j]) for j in np.flatnonzero(s[n] >= floor[n]) if own[j] != name]
+                    best[a + n] = sorted(set(best[a + n] + near))[:k]
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([[{"d": d, "id": i} for d, i in x] for x in best], pa.list_(pa.struct([("d", pa.float32()), ("id", pa.string())])))], names=["id", "n"]
         )

@@ -198,8 +198,10 @@ def test_exact_neighbours_and_recall(spark):
     ids = [f"i{k:04d}" for k in np.random.default_rng(1).permutation(len(x))]
     f = rows(spark, x, ids).unionByName(rows(spark, [None], ["x"]))
     want = exact(x, ids, 5)
-    got = {r.id: [n.id for n in r.neighbours] for r in V.exact_neighbours(f.unionByName(f.limit(9)), f.select("id").limit(30), 5).collect()}
-    assert len(got) >= 29 and all(got[i] == want[i] for i in got)
+    got = {r.id: [n.id for n in r.neighbours] for r in V.exact_neighbours(f.unionByName(f), f.select("id").limit(30), 5).collect()}
+    assert len(got) >= 29 and all(got[i] == want[i] for i in got)  # every row twice, neighbours once
+    one = V.exact_neighbours(f.unionByName(f).coalesce(1), f.select("id").limit(30), 5).collect()
+    assert all([n.id for n in r.neighbours] == want[r.id] for r in one)
     with pytest.raises(ValueError):
         V.exact_neighbours(f, f.select("id"), 5, queries=10)
     r = V.recall(V.nearest(f, 5), f, 5).first()
