@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, pages, split, tokens, truncation, vectors
+from . import endcounts, lines, pages, split, tokens, truncation, vectors
 from .common import limits, shared, table
 
 
@@ -116,8 +116,7 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _truncated(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    return truncation.truncated(docs, {"text": truncation.fit(truncation.sample(docs))})
+    return endcounts.truncated(table(spark, d, "documents"))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Texts cut off by field limits (problem 10): a backward character n-gram model of where lines end.
 
-The model is fitted on a bounded sample of texts whose names and figures are masked. For contexts of several
+The model is fitted on all texts (``endcounts``), whose names and figures are masked. For contexts of several
 lengths, read backwards from a position, it holds how often a line ended there and how often it went on; the
 state of the line, whether a whole sentence already stands on it, is part of every context. The log-odds of
 ending, against the rate at which a random position is an end, tell a written end from a cut: a cut falls at
@@ -29,15 +29,16 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, shared
 
-#: Bounds of the sample: rows, and the longest text taken whole.
+#: Bounds of ``sample``: rows, and the longest text taken whole.
 SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
 ORDERS = (1, 2, 3, 4, 5, 6, 8, 12, 18)
 #: Weight of the next shorter context in each interpolation step.
 PRIOR = 3.0
 #: Contexts of four characters and more that never ended a line are held from so many passes on.
 HELD = 5
-#: Texts of the sample that must end alike for their last line to count as a sign-off.
-ALIKE = 3
+#: Texts that must end alike for their last line to count as a sign-off: so many, and as large a share as these of ALIKE_OF texts,
+#: since cuts at one place grow with the table as sign-offs do.
+ALIKE, ALIKE_OF = 3, 4000
 #: Width of a histogram bin of scores, and rows of all languages that each language's histogram borrows.
 BIN, BORROWED = 0.25, 200.0
 
@@ -47,7 +48,7 @@ _SIGN = re.compile(
 _NAME = re.compile(r"[A-ZÀ-ÖØ-ÞА-ЯЁ][\w’'-]*(?: (?=[A-ZÀ-ÖØ-ÞА-ЯЁ])[\w’'-]+)*")
 _LATIN = re.compile(r"[A-Za-z][A-Za-z' -]*[A-Za-z]|[A-Za-z]")
 _DIGITS = re.compile(r"\d+(?:[.,:/-]\d+)*")
-_SPACES = re.compile(r"[^\S\n]+")
+_SPACES = re.compile(r" [^\S\n]+|[^\S\n ][^\S\n]*")  # all but single blanks
 _CJK = re.compile(r"[㐀-鿿]")
 #: The end of a sentence with more after it on the same line.
 _INNER_END = re.compile(r"(?:[.!?]['\"”’»“)\]]{0,3} +(?=\S)|[。！？][”’」』]{0,3}(?=\S))")
@@ -57,10 +58,10 @@ _OPEN_TAG, _OPEN_ENTITY = re.compile(r"<[A-Za-z/!][^<>]*$"), re.compile(r"&#?\w{
 _TAIL = 3000
 
 
-def mask(text: str) -> str:
-    """Names as X, digit runs as 0, blanks as one space; in CJK text every Latin word is a name."""
+def mask(text: str, cjk: bool | None = None) -> str:
+    """Names as X, digit runs as 0, blanks as one space; in CJK text, which the caller may know of, every Latin word is a name."""
     text = _SPACES.sub(" ", _DIGITS.sub("0", text))
-    return _LATIN.sub("X", text) if _CJK.search(text) else _NAME.sub("X", text)
+    return _LATIN.sub("X", text) if (bool(_CJK.search(text)) if cjk is None else cjk) else _NAME.sub("X", text)
 
 
 def without_sign(text: str) -> tuple[str, bool]:
@@ -87,8 +88,18 @@ def ending(text: str) -> tuple[str, int, bool]:
     last = t.rsplit("\n", 1)[-1].strip()
     short = mask(last[-_TAIL:]).strip()
     state = int(_after_sentence(short if len(last) <= _TAIL else last) <= len(short if len(last) <= _TAIL else last))
-    short = _OPEN_ENTITY.sub("&", _OPEN_TAG.sub("<", short))
-    return (("\n" if len(last) <= _TAIL else "") + short)[-ORDERS[-1]:], state, sign
+    return context(short, len(last) <= _TAIL), state, sign
+
+
+def context(line: str, whole: bool = True) -> str:
+    """Final context of a masked line, or of its end."""
+    short = _OPEN_ENTITY.sub("&", _OPEN_TAG.sub("<", line))
+    return (("\n" if whole else "") + short)[-ORDERS[-1] :]
+
+
+def alike_from(texts: int) -> float:
+    """How many of so many texts must end alike."""
+    return max(ALIKE, ALIKE * texts / ALIKE_OF)
 
 
 def language_key(lang: str | None) -> str:
@@ -154,8 +165,7 @@ class EndModel:
             hit = found & (keys[i] == want)
             if k == 1:
                 p[found & ~hit] = self.rare
-            e = np.maximum(self.ends[k][i] - own, 0)
-            p = np.where(hit, (e + PRIOR * p) / (e + self.passed[k][i] + PRIOR), p)
+            p = refined(p, hit, self.ends[k][i] - own, self.passed[k][i])
             going = hit
         return np.log(p / self.base)
 
@@ -167,12 +177,45 @@ class EndModel:
         return s < self.thresholds.get((column, language_key(lang)), self.thresholds.get((column, ""), 0.0)), s
 
 
+def refined(p: np.ndarray, hit: np.ndarray, ends: np.ndarray, passed: np.ndarray) -> np.ndarray:
+    """One interpolation step: the rate of a longer context where it is known."""
+    e = np.maximum(ends, 0)
+    return np.where(hit, (e + PRIOR * p) / (e + passed + PRIOR), p)
+
+
 def hash_of(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
+def positions(lines: list[str]) -> tuple[np.ndarray, ...]:
+    """Characters of all lines, each after a line feed; size and last position of each line; place, state and neutrality of each position."""
+    joined = "".join("\n" + x for x in lines)
+    codes = _codes(joined)
+    sizes = np.array([len(x) + 1 for x in lines], np.int64)
+    last = np.cumsum(sizes) - 1
+    first = last - sizes + 1
+    found = [m.span() for m in _INNER_END.finditer(joined)]
+    begin, end = np.array([a for a, _ in found], np.int64), np.array([b for _, b in found], np.int64)
+    # a cut behind a whole sentence leaves no trace, so going on there says nothing
+    neutral = _covered(len(codes), begin, end)
+    line = np.searchsorted(first, begin, "right") - 1
+    long = begin - first[line] > _LEAST_SENTENCE if len(found) else np.zeros(0, bool)
+    of, i = np.unique(line[long], return_index=True)
+    state = _covered(len(codes), end[long][i] - 1, last[of] + 1).astype(np.int8)
+    place = np.arange(len(codes)) - np.repeat(first, sizes)  # 0 for the line feed
+    return codes, sizes, last, place, state, neutral
+
+
+def _covered(n: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which of n positions are in one of the ranges."""
+    step = np.zeros(n + 1, np.int32)
+    np.add.at(step, begin, 1)
+    np.add.at(step, end, -1)
+    return np.cumsum(step[:n]) > 0
+
+
 def fit(rows: list[tuple[str, str | None]]) -> EndModel:
-    """Model from (text, title) rows; equal texts count once."""
+    """Model from (text, title) rows held in memory; equal texts count once. ``endcounts`` fits the same on a whole table."""
     seen: dict[str, str | None] = {}
     for text, title in rows:
         seen.setdefault(text, title)
@@ -188,21 +231,11 @@ def fit(rows: list[tuple[str, str | None]]) -> EndModel:
                 lines.append(x)
                 whole.append(i < len(own) - 1)
                 text_of.append(n if i == len(own) - 1 and not sign else -1)
-        if seen[text]:
+        if seen[text] and seen[text].strip():
             lines.append(mask(seen[text].strip()))
             whole.append(True)
             text_of.append(-1)
-    codes = _codes("".join("\n" + x for x in lines))
-    sizes = np.array([len(x) + 1 for x in lines], np.int64)
-    last = np.cumsum(sizes) - 1
-    first = last - sizes + 1
-    state = np.zeros(len(codes), np.int8)
-    neutral = np.zeros(len(codes), bool)
-    for x, a, b in zip(lines, first, last):
-        state[a + _after_sentence(x) : b + 1] = 1
-        for m in _INNER_END.finditer(x):  # a cut behind a whole sentence leaves no trace, so going on there says nothing
-            neutral[a + 1 + m.start() : a + 1 + m.end()] = True
-    place = np.arange(len(codes)) - np.repeat(first, sizes)  # 0 for the line feed
+    codes, sizes, last, place, state, neutral = positions(lines)
     known = np.array(whole, bool)
     is_end = np.zeros(len(codes), np.int8)  # 1 a line end, 2 the end of a text
     is_end[last] = np.where(known, 1, 2)
@@ -225,16 +258,16 @@ def fit(rows: list[tuple[str, str | None]]) -> EndModel:
         tails = [ending(texts[final_texts[j]]) for j in mine]
         scores = model.score([c for c, _, _ in tails], np.array([s for _, s, _ in tails]), np.zeros(len(mine), np.int64))
         start = valley(*histogram(scores))
-        alike = np.zeros(len(mine), bool)
+        alike, least = np.zeros(len(mine), bool), alike_from(int((~known).sum()))
         for k in ORDERS:
             reach = (hashed[k][mine] != 0) & ((sizes[~known][mine] == k) | (k == ORDERS[-1]))
             i = np.minimum(np.searchsorted(keys[k], hashed[k][mine]), max(len(keys[k]) - 1, 0))
-            alike |= reach & (finals[k][i] >= ALIKE) & (passed[k][i] < finals[k][i])
+            alike |= reach & (finals[k][i] >= least) & (passed[k][i] < finals[k][i])
         for size in set(sizes[~known][mine].tolist()) - set(ORDERS):  # whole lines between two orders
             k = max((k for k in ORDERS if k <= size), default=1)
             reach = (sizes[~known][mine] == size) & (size < ORDERS[-1]) & (hashed[k][mine] != 0)
             i = np.minimum(np.searchsorted(keys[k], hashed[k][mine]), len(keys[k]) - 1)
-            alike |= reach & (finals[k][i] >= ALIKE) & (passed[k][i] < finals[k][i])
+            alike |= reach & (finals[k][i] >= least) & (passed[k][i] < finals[k][i])
         taken = mine[(scores >= start) | alike]
         for k in ORDERS:
             h = hashed[k][taken]
@@ -311,7 +344,7 @@ def thresholds(counts: dict[tuple[str, str], dict[int, int]]) -> dict[tuple[str,
 
 
 def sample(documents: DataFrame, key: str = "doc_id", text: str = "text", title: str | None = "title") -> list[tuple[str, str | None]]:
-    """About SAMPLE_ROWS (text, title) of texts of at most SAMPLE_CHARS characters, taken by hash of the key."""
+    """About SAMPLE_ROWS (text, title) of texts of at most SAMPLE_CHARS characters, taken by hash of the key, for models held in memory; no query uses it."""
     name = F.col(title) if title else F.lit(None).cast("string")
     texts = documents.select(F.col(key).alias("k"), F.col(text).alias("t"), name.alias("l")).where((F.length(F.trim("t")) > 0) & (F.length("t") <= SAMPLE_CHARS))
     rows = sorted(bounded_sample(texts, "k", SAMPLE_ROWS).collect(), key=lambda r: (str(r.k), r.t))
@@ -344,23 +377,31 @@ def scored(documents: DataFrame, models: dict[str, EndModel], key: str = "doc_id
 def truncated(documents: DataFrame, models: dict[str, EndModel], **columns: str) -> DataFrame:
     """(doc_id, source, column, truncated, score): whether each text was cut.
 
+    Null, empty and blank texts are not truncated and have a null score.
+    """
+    found, limits = decided(scored(documents, models, **columns))
+    for name, m in models.items():
+        m.thresholds = {k: v for k, v in limits.items() if k[0] == name}
+    return found
+
+
+def decided(rows: DataFrame) -> tuple[DataFrame, dict[tuple[str, str], float]]:
+    """Scored rows with ``truncated`` in place of their language, and the thresholds.
+
     The scores are written to the shared folder once; the thresholds come from histograms over all of them
-    (a few bins for each column and language), so every row takes part. Null, empty and blank texts are not
-    truncated and have a null score.
+    (a few bins for each column and language), so every row takes part.
     """
-    rows = shared(scored(documents, models, **columns))
+    rows = shared(rows)
     bins = rows.where("score is not null").groupBy("column", "language", F.floor(F.col("score") / BIN).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     counts: dict[tuple[str, str], dict[int, int]] = {}
     for r in bins.collect():
         counts.setdefault((r.column, r.language), {})[r.bin] = r.n
     found = thresholds(counts)
-    for name, m in models.items():
-        m.thresholds = {k: v for k, v in found.items() if k[0] == name}
     limit = F.lit(0.0)
     if found:
         by = F.create_map(*[F.lit(x) for (c, lang), t in found.items() for x in (f"{c}\x1f{lang}", t)])
         limit = F.coalesce(by[F.concat_ws("\x1f", "column", "language")], by[F.concat("column", F.lit("\x1f"))], F.lit(0.0))
-    return rows.select("doc_id", "source", "column", F.coalesce(F.col("score") < limit, F.lit(False)).alias("truncated"), "score")
+    return rows.select("doc_id", "source", "column", F.coalesce(F.col("score") < limit, F.lit(False)).alias("truncated"), "score"), found
 
 
 def share_by_source(found: DataFrame) -> DataFrame:

@@ -266,3 +266,69 @@ def test_line_states_never_share_a_context():
         assert one[0] != one[1]
     seen = {int(list(C._hashes(np.array([a], np.uint32), np.array([s])))[0][1][0]) for a in range(1, 3000) for s in (0, 1)}
     assert len(seen) == 2 * 2999
+
+
+def _documents(spark, tmp_path):
+    """sf0.01 with copies, long texts, signs, mixed scripts and rows without a text."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "title")
+    first = docs.where("doc_id < 40")
+    copies = first.withColumn("doc_id", F.col("doc_id") + 10**6).unionByName(first.where("doc_id < 20").withColumn("doc_id", F.col("doc_id") + 2 * 10**6))
+    odd = ["", "  ", None, "…", "[…]", "\n\n", "一句话。Reuters and AP\nThe court of Exampleville met", "Word " * 5000 + "ends here.", "x" * 4000 + ". And then", "See <a href", "A &amp", "One line. Read more", "Tail \x0b  of blanks  ", "<"]
+    odd = spark.createDataFrame([(3 * 10**6 + i, t, "en", "odd", " " if i % 2 else None) for i, t in enumerate(odd)], "doc_id long, text string, lang string, source string, title string")
+    docs.unionByName(copies).unionByName(odd).repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    return spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+
+def test_every_text_takes_part_in_the_end_model(spark, tmp_path, monkeypatch):
+    """p10_found rests on all rows: its cuts are those of the model fitted on all of them, whatever the bounds of samples."""
+    from newsloom.llm import queries
+
+    docs = _documents(spark, tmp_path)
+    rows = [(r.text, r.title) for r in docs.where(F.length(F.trim("text")) > 0).groupBy("text").agg(F.min("title").alias("title")).collect()]
+    monkeypatch.setattr(C, "SAMPLE_ROWS", 30)
+    monkeypatch.setattr(C, "SAMPLE_CHARS", 600)
+    got = sorted(r.doc_id for r in queries.p10_found(spark, str(tmp_path)).collect())
+    want = C.truncated(docs, {"text": C.fit(rows)}).where("truncated")
+    assert got == sorted(r.doc_id for r in want.collect()) and len(got) > 100
+
+
+@pytest.mark.parametrize("held", [2_000_000, 1])
+def test_counts_of_tasks_give_the_model_of_all_rows(spark, tmp_path, monkeypatch, held):
+    import numpy as np
+
+    from newsloom.llm import endcounts as E
+
+    docs = _documents(spark, tmp_path)
+    monkeypatch.setattr(E, "HELD_ROWS", held)
+    if held == 1:
+        monkeypatch.setattr(E, "CHARS", 5000)
+        monkeypatch.setattr(E, "bitmap", lambda classes, bits: np.full(1 << 16, 255, np.uint8))  # full, so all contexts are counted
+        monkeypatch.setattr(E, "BROADCAST_REPEATS", 0)
+    rows = [(r.text, r.title) for r in docs.where(F.length(F.trim("text")) > 0).groupBy("text").agg(F.min("title").alias("title")).collect()]
+    want = {r.doc_id: r for r in C.truncated(docs, {"text": C.fit(rows)}).collect()}
+    got = {r.doc_id: r for r in E.truncated(docs).collect()}
+    assert got.keys() == want.keys()
+    for i, r in want.items():
+        assert (got[i].source, got[i].column, got[i].truncated) == (r.source, r.column, r.truncated)
+        assert got[i].score == (r.score if r.score is None else pytest.approx(r.score, abs=1e-9))
+
+
+def test_end_model_of_few_and_no_rows(spark):
+    from newsloom.llm import endcounts as E
+
+    df = spark.createDataFrame([(1, None, None, None, None), (2, " ", "en", "s", "A title"), (3, "…", "en", "s", None)], "doc_id long, text string, lang string, source string, title string")
+    assert E.truncated(df.limit(0)).count() == 0
+    assert sorted((r.doc_id, r.truncated, r.score) for r in E.truncated(df).collect()) == [(1, False, None), (2, False, None), (3, False, None)]
+    one = E.truncated(df.unionByName(spark.createDataFrame([(4, "Only one text.", "en", "s", None)], df.schema)))
+    assert one.where("score is not null").count() == 1
+
+
+def test_cuts_at_one_place_are_no_sign_off_in_a_larger_table():
+    """Of 8 000 texts 4 are cut behind the same words with a comma; as a share they are too few to be a sign-off."""
+    random.seed(3)
+    words = ["council", "river", "harbour", "minister", "grain", "letter", "winter", "signal"]
+    line = lambda: "The " + ", ".join(random.choice(words) for _ in range(6)) + "."
+    rows = [(f"{line()}\n{line()} {i}.", None) for i in range(8000)]
+    cut = [f"{line()}\nThe {w} told reporters in," for w in words[:4]]
+    model = C.fit(rows + [(t, None) for t in cut])
+    assert all(C.hash_of(t) not in model.counted for t in cut) and C.alike_from(4000) == C.ALIKE
